@@ -42,7 +42,12 @@ def cut(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="sedimenta-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)
+    # A checkpoint hands on its plan's constraints, order and partitioning; over
+    # the self-joins of an iteration they double each round, until planning takes
+    # longer than the work. Only the rows and their types are kept here.
+    plan = kept._jdf.queryExecution().toRdd()
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(plan, kept._jdf.schema(), False), spark)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
