@@ -30,7 +30,8 @@ def mapped(df: DataFrame, column: str, mapping: DataFrame, value: str, rows: int
     left out holds less than 1/MAX_HOT of the rows. ``rows``, the number of rows
     of ``df`` if the caller knows it, saves the search where no value can be hot.
     """
-    pairs = mapping.select(column, value)
+    # The hint keeps small rounds from collecting every map on the driver for a broadcast.
+    pairs = mapping.select(column, value).hint("merge")
     if rows is not None and rows <= hot_rows:
         return df.join(pairs, column)
     hot = (

@@ -15,6 +15,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -266,55 +267,68 @@ def _bands() -> int:
 
 
 def _band_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """band, role, form, wide: a form's bands per core token.
+    """band, role, form: a form's bands per core token.
 
     A form of several tokens carries the first letter of the other one in its
     band, so that a common token alone brings nothing together; it also waits
     (role 't') for forms that consist of the one token (role 'q').
     """
     hasher = MinHash(_bands(), ROWS, Q)
-    whole = MinHash(_bands(), ROWS, Q, seed=11)
     for batch in batches:
-        rows = []
+        rows = set()
         for kind, form in zip(batch["kind"], batch["form"], strict=True):
-            core = form.split("|")[0] if kind == "partner" else form[2:]
-            initials = form.split("|")[2] if kind == "partner" else ""
+            core, initials = _core(kind, form)
             tokens = core.split()
-            wide = whole.keys("".join(tokens))
             for i, t in enumerate(tokens):
                 if t in NICKNAMES and kind == "partner":
                     continue
-                others = [x[0] for j, x in enumerate(tokens) if j != i] + list(initials)
+                others = {x[0] for j, x in enumerate(tokens) if j != i} | set(initials)
                 for key in hasher.keys(t):
-                    for letter in sorted(set(others)):
-                        rows.append((f"{kind[0]}{key}{letter}", "m", form, wide))
-                    rows.append((f"{kind[0]}{key}", "t" if others else "q", form, wide))
-        yield pd.DataFrame(rows, columns=["band", "role", "form", "wide"])
+                    rows.update((hash_of(kind, key, letter), "m", form) for letter in others)
+                    rows.add((hash_of(kind, key, ""), "t" if others else "q", form))
+        yield pd.DataFrame(list(rows), columns=["band", "role", "form"])
 
 
-def candidate_pairs(forms: DataFrame) -> DataFrame:
-    """kind, a, b (a < b) of forms that share a band; see :func:`_band_keys`."""
-    keyed = forms.select("kind", "form").distinct().repartition("form").mapInPandas(
-        _band_keys, "band string, role string, form string, wide array<long>"
-    ).select(F.xxhash64("band").alias("band"), F.substring("band", 1, 1).alias("kind"), "role", "form", "wide").distinct()
+def hash_of(kind: str, key: int, letter: str) -> int:
+    return xxhash.xxh64_intdigest(f"{kind}|{key}|{letter}") - (1 << 63)
+
+
+def _core(kind: str, form: str) -> tuple[str, str]:
+    parts = form.split("|")
+    return (parts[0], parts[2]) if kind == "partner" else (form[2:], "")
+
+
+def _wide_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """form, wide: the bands of a form's core as a whole."""
+    hasher = MinHash(_bands(), ROWS, Q, seed=11)
+    for batch in batches:
+        yield pd.DataFrame({"form": batch["form"], "wide": [hasher.keys(_core(k, f)[0].replace(" ", "")) for k, f in zip(batch["kind"], batch["form"], strict=True)]})
+
+
+def candidate_pairs(forms: DataFrame, kind: str) -> DataFrame:
+    """kind, a, b (a < b) of forms of one kind that share a band; see :func:`_band_keys`."""
+    own = forms.where(F.col("kind") == kind).select("kind", "form").distinct().repartition("form")
+    keyed = cut(own.mapInPandas(_band_keys, "band long, role string, form string"))
     crowded = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > CROWDED).select("band")
-    small = keyed.drop("wide").join(crowded, "band", "left_anti")
+    crowded = cut(crowded)
+    small = keyed.join(crowded, "band", "left_anti")
     # Crowded bands: pairs must also share a band of the whole form, set for the same recall.
+    many = keyed.join(crowded, "band", "left_semi")
+    wide = own.join(many.select("form").distinct(), "form", "left_semi").select("kind", "form").mapInPandas(_wide_keys, "form string, wide array<long>")
     big = (
-        keyed.join(crowded, "band", "left_semi")
-        .select("kind", "role", "form", F.col("band").alias("_b"), F.posexplode("wide").alias("_i", "_w"))
-        .select(F.xxhash64("_b", "_i", "_w").alias("band"), "kind", "role", "form")
+        many.join(wide, "form")
+        .select("role", "form", F.col("band").alias("_b"), F.posexplode("wide").alias("_i", "_w"))
+        .select(F.xxhash64("_b", "_i", "_w").alias("band"), "role", "form")
     )
-    ready = cut(small.select("band", "kind", "role", "form").unionByName(big))
-    left = ready.where(F.col("role") != "t").select("band", "kind", F.col("role").alias("ra"), F.col("form").alias("fa"))
+    ready = small.select("band", "role", "form").unionByName(big)
+    left = ready.where(F.col("role") != "t").select("band", F.col("role").alias("ra"), F.col("form").alias("fa"))
     right = ready.select("band", F.col("role").alias("rb"), F.col("form").alias("fb"))
     met = left.join(right, "band").where(
-        (F.col("fa") != F.col("fb")) & (((F.col("ra") == "m") & (F.col("rb") == "m")) | ((F.col("ra") == "q") & (F.col("rb") != "m")))
+        (F.col("fa") != F.col("fb")) & (((F.col("ra") == "m") & (F.col("rb") == "m") & (F.col("fa") < F.col("fb"))) | ((F.col("ra") == "q") & (F.col("rb") != "m")))
     )
-    return met.select(
-        F.when(F.col("kind") == "p", F.lit("partner")).otherwise(F.lit("asset")).alias("kind"),
-        F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b"),
-    ).distinct()
+    if kind == "asset":  # two slips of a typing person change at most four letters
+        met = met.where(F.levenshtein("fa", "fb", 8) >= 0)
+    return met.select(F.lit(kind).alias("kind"), F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")).distinct()
 
 
 def verified_pairs(pairs: DataFrame) -> DataFrame:
@@ -329,8 +343,7 @@ def verified_pairs(pairs: DataFrame) -> DataFrame:
             batch = batch.assign(sim=sims)
             yield batch[batch["sim"] >= ACCEPT]
 
-    near = (F.col("kind") == "partner") | (F.levenshtein("a", "b", 8) >= 0)
-    return pairs.where(near).mapInPandas(verify, "kind string, a string, b string, sim double")
+    return pairs.mapInPandas(verify, "kind string, a string, b string, sim double")
 
 
 def name_clusters(expected: DataFrame) -> DataFrame:
@@ -354,7 +367,7 @@ def name_clusters(expected: DataFrame) -> DataFrame:
     nodes = forms.select("kind", "form", "support", F.concat_ws("|", "kind", "form").alias("node")).join(stated, "node", "left")
     nodes = cut(nodes.select("kind", "form", "node", "support", F.coalesce("group", "node").alias("group")))
     blocked = nodes.where(~F.col("node").startswith("asset|d|"))
-    verified = verified_pairs(candidate_pairs(blocked))
+    verified = verified_pairs(candidate_pairs(blocked, "partner").unionByName(candidate_pairs(blocked, "asset")))
     of = lambda c: nodes.select("kind", F.col("form").alias(c), F.col("group").alias(f"g{c}"))
     joined = verified.join(of("a"), ["kind", "a"]).join(of("b"), ["kind", "b"])
     core = F.split("form", r"\|")

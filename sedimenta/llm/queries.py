@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm.components import alias_groups
+from sedimenta.llm.mixing import drawn, share_report
 from sedimenta.llm.names import name_clusters, variant_pairs
+from sedimenta.llm.packing import packed, room_report
+from sedimenta.llm.subjects import makeup, subject_shares
+from sedimenta.llm.tokens import with_token_counts
 from sedimenta.llm.vocabulary import mapped_verbatims, misses
 from sedimenta.session import cut, table
 
@@ -28,7 +32,45 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return alias_groups(table(spark, d, "curated_aliases"), table(spark, d, "alias_pair"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p5_found, p5_misses, p7_found)}
+def _sizes(spark: SparkSession, d: str) -> DataFrame:
+    return with_token_counts(table(spark, d, "documents"), "doc_id long")
+
+
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packed(_sizes(spark, d), table(spark, d, "pack_capacity"))
+
+
+def p8_room(spark: SparkSession, d: str) -> DataFrame:
+    return room_report(_sizes(spark, d), table(spark, d, "pack_capacity"))
+
+
+def _corpus(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents")
+    sizes = with_token_counts(documents, "doc_id long, source string, lang string")
+    topics = subject_shares(documents, table(spark, d, "subject_label")).where(F.col("place") == 0).select("doc_id", F.col("area").alias("topic"))
+    return drawn(cut(sizes.join(topics, "doc_id", "left")), table(spark, d, "mix_target"))
+
+
+def p9_drawn(spark: SparkSession, d: str) -> DataFrame:
+    return _corpus(spark, d)
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return share_report(cut(_corpus(spark, d)), table(spark, d, "mix_target"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return subject_shares(table(spark, d, "documents"), table(spark, d, "subject_label")).select("doc_id", "area")
+
+
+def p10_makeup(spark: SparkSession, d: str) -> DataFrame:
+    return makeup(subject_shares(table(spark, d, "documents"), table(spark, d, "subject_label")))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (p1_found, p5_found, p5_misses, p7_found, p8_packed, p8_room, p9_drawn, p9_shares, p10_found, p10_makeup)
+}
 
 SQL = {
     "p7_found": """
