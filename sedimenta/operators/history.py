@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.functions.text import stripped
 from sedimenta.operators.ordered import ROWS_PER_BLOCK, neighbour, with_blocks
 
 
@@ -88,7 +89,7 @@ def program_history(observations: DataFrame) -> DataFrame:
     no rows.
     """
     keys = ["program_id", "indication_id", "company_id"]
-    clean = lambda c: F.lower(F.regexp_replace(c, r"^\s+|\s+$", "")).alias(c)
+    clean = lambda c: F.lower(stripped(F.col(c))).alias(c)
     rows = observations.where(F.col("phase").isNotNull() & F.col("observed_at").isNotNull()).select(
         *keys, clean("phase"), clean("status"), "observed_at", "recorded_at"
     )

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.functions.text import stripped
 from sedimenta.operators.ordered import neighbour, with_blocks
 
 LEAF_BITS = 12
@@ -22,7 +23,7 @@ FAN_BITS = 6
 
 
 def _blank_to_null(column: Column) -> Column:
-    code = F.lower(F.regexp_replace(column, r"^\s+|\s+$", ""))
+    code = F.lower(stripped(column))
     return F.when(code != "", code)
 
 
@@ -65,7 +66,7 @@ def snapshot_changes(snapshots: DataFrame) -> DataFrame:
     asset = F.col("asset_id")
     rows = (
         snapshots.where(
-            asset.isNotNull() & (F.trim(asset) != "") & F.col("capture_id").isNotNull() & F.col("source_id").isNotNull()
+            asset.isNotNull() & (stripped(asset) != "") & F.col("capture_id").isNotNull() & F.col("source_id").isNotNull()
         )
         .select(
             "capture_id",
