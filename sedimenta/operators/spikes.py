@@ -55,7 +55,7 @@ def _medians(x: np.ndarray, k: int) -> np.ndarray:
     ordered = np.sort(windows, axis=1)  # NaN goes last
     count = np.minimum(np.arange(len(x) + 1), k)
     rows = np.arange(len(x) + 1)
-    mid = (ordered[rows, np.maximum(count - 1, 0) // 2] + ordered[rows, count // 2 - (count == k) * (k == count // 2)]) / 2
+    mid = (ordered[rows, np.maximum(count - 1, 0) // 2] + ordered[rows, count // 2]) / 2
     return np.where(count > 0, mid, np.nan)
 
 
@@ -88,6 +88,8 @@ def residual(x: np.ndarray) -> np.ndarray:
     """Each reading less the median of up to three readings on either side."""
     k = 3
     n = len(x)
+    if not n:
+        return np.zeros(0)
     padded = np.concatenate([np.full(k, np.nan), x, np.full(k, np.nan)])
     windows = np.lib.stride_tricks.sliding_window_view(padded, 2 * k + 1)
     around = np.sort(np.delete(windows, k, axis=1), axis=1)
