@@ -150,10 +150,10 @@ def asset_forms(name: str | None) -> list[str]:
     if len(parts) > 1 and all(len(re.sub(r"[^a-z0-9]", "", p)) >= 4 for p in parts):
         return ["m|" + " ".join(sorted(_simple(p)[2:].replace(" ", "") for p in parts))]
     if m := re.fullmatch(r"(.+?)\s*\(([^()]*)\)", text):
-        inner = m[2].strip()
+        inner = [w for w in m[2].split() if w not in SALTS]
         forms = [_simple(m[1])]
-        if inner and " " not in inner and len(inner) >= 4:
-            forms.append(_simple(inner))
+        if len(inner) == 1 and len(inner[0]) >= 4:
+            forms.append(_simple(inner[0]))
         return forms
     return [_simple(text)]
 
