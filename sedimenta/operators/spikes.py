@@ -33,18 +33,20 @@ MIN_SCATTERS = 6.0
 MIN_STEP = 5.0
 MAX_RUN = 4
 MAX_STUCK = 5
-HALO = 24
-LEVELS = (3, 5, 7)
+HALO = 32
+LEVELS = (3, 7, 11)
+#: A reading between two spikes is one itself from this part of the exact distance on.
+BETWEEN = 5 / 6
 #: Scatter of a residual against the median of six neighbours, in scatters of a reading.
 RESIDUAL_SCATTER = 1.12
 #: A source ordinarily varies if at least this share of its readings differ from the one before.
-VARYING = 0.25
+VARYING = 0.45
 #: 32-bit sentinel for "no value".
 INT_MAX = 2**31 - 1
 
 _FEATURES = (
-    "source_id string, stat_id long, a_res double, a_dev double, a_bad boolean, a_stuck boolean, "
-    "pairs int, changes int, t_res double, t_dev double, t_bad boolean"
+    "source_id string, stat_id long, a_res double, a_dev double, a_side double, a_bad boolean, a_stuck boolean, "
+    "pairs int, changes int, t_res double, t_dev double, t_side double, t_bad boolean"
 )
 
 
@@ -64,26 +66,37 @@ def deviation(x: np.ndarray) -> np.ndarray:
 
     The largest distance d such that the reading belongs to a run of at most
     MAX_RUN readings that all keep d from the level before and after the run,
-    while these two levels differ by at most d / 2.
+    while these two levels differ by at most d / 2. A level is a median of the
+    3, 7 or 11 readings next to the run; two of the three have to say d, so
+    neither other spikes nor a lasting change close by are taken for the level.
     """
     n = len(x)
     best = np.zeros(n)
+    levels = []
     for k in LEVELS:
         before = _medians(x, k)  # before[s]: level ahead of a run that starts at s
-        after = _medians(x[::-1], k)[::-1]  # after[e + 1]: level behind a run that ends at e
         before[:2] = np.nan
-        for length in range(1, min(MAX_RUN, n) + 1):
-            starts = np.arange(n - length + 1)
+        levels.append((before, _medians(x[::-1], k)[::-1]))  # after[e + 1]: level behind a run that ends at e
+    for length in range(1, min(MAX_RUN, n) + 1):
+        starts = np.arange(n - length + 1)
+        run = np.lib.stride_tricks.sliding_window_view(x, length)
+        said = []
+        for before, after in levels:
             p, q = before[starts], after[starts + length]
-            run = np.lib.stride_tricks.sliding_window_view(x, length)
             dev = np.minimum(np.abs(run - p[:, None]), np.abs(run - q[:, None])).min(axis=1)
-            good = np.isfinite(dev) & (np.abs(p - q) <= dev / 2)
-            dev = np.where(good, dev, 0.0)
-            for j in range(length):
-                best[j : j + len(dev)] = np.maximum(best[j : j + len(dev)], dev)
+            said.append(np.where(np.isfinite(dev) & (np.abs(p - q) <= dev / 2), dev, 0.0))
+        dev = np.median(said, axis=0)
+        for j in range(length):
+            best[j : j + len(dev)] = np.maximum(best[j : j + len(dev)], dev)
     return best
 
 
+def sides(dev: np.ndarray) -> np.ndarray:
+    """The smaller deviation of a reading's two neighbours."""
+    padded = np.concatenate([[0.0], dev, [0.0]])
+    return np.minimum(padded[:-2], padded[2:])
+
+
 def residual(x: np.ndarray) -> np.ndarray:
     """Each reading less the median of up to three readings on either side."""
     k = 3
@@ -126,18 +139,21 @@ def _one_series(rows: pd.DataFrame) -> pd.DataFrame:
     a_in = ~np.isnan(a)
     differs = np.concatenate([[False], a[a_in][1:] != a[a_in][:-1]]) if a_in.any() else np.zeros(0, bool)
     has_prev = np.arange(int(a_in.sum())) > 0
+    a_dev, t_dev = deviation(a[a_ok]), deviation(t[t_ok])
     out = pd.DataFrame(
         {
             "source_id": rows["source_id"],
             "stat_id": rows["stat_id"],
             "a_res": _spread(residual(a[a_ok]), a_ok, np.nan),
-            "a_dev": _spread(deviation(a[a_ok]), a_ok, 0.0),
+            "a_dev": _spread(a_dev, a_ok, 0.0),
+            "a_side": _spread(sides(a_dev), a_ok, 0.0),
             "a_bad": a_bad,
             "a_stuck": _spread(stuck(a[a_in]), a_in, False),
             "pairs": _spread(has_prev, a_in, False).astype("int32"),
             "changes": _spread(differs, a_in, False).astype("int32"),
             "t_res": _spread(residual(t[t_ok]), t_ok, np.nan),
-            "t_dev": _spread(deviation(t[t_ok]), t_ok, 0.0),
+            "t_dev": _spread(t_dev, t_ok, 0.0),
+            "t_side": _spread(sides(t_dev), t_ok, 0.0),
             "t_bad": t_bad,
         }
     )
@@ -260,7 +276,9 @@ def implausible_readings(stats: DataFrame, rows_per_block: int = ROWS_PER_BLOCK)
 
     def spike(f: str) -> Column:
         exact = F.greatest(F.lit(MIN_STEP), MIN_SCATTERS * F.col(f"{f}_scatter"))
-        return (F.col(f"{f}_dev") >= F.least(F.col(f"{f}_cutoff"), exact)) & (F.col(f"{f}_dev") >= exact)
+        dev = F.col(f"{f}_dev")
+        between = (F.col(f"{f}_side") >= exact) & (dev >= F.greatest(F.lit(MIN_STEP), BETWEEN * exact))
+        return (dev >= F.least(F.col(f"{f}_cutoff"), exact)) & ((dev >= exact) | between)
 
     fields = F.array_compact(
         F.array(

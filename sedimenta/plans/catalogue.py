@@ -256,13 +256,12 @@ def status_classes(s: SparkSession, d: str) -> DataFrame:
     return said.select("status", "phase_verbatim", tx.development_status(F.col("status"), F.col("phase_verbatim"), F.lit(None).cast("string")).alias("class"))
 
 
-@query(r"""WITH x AS (SELECT DISTINCT name FROM (SELECT unnest(partners, recursive := true) FROM expected_asset) WHERE name IS NOT NULL AND regexp_matches(name, '^[ -~]*$')),
+@query(r"""WITH x AS (SELECT DISTINCT name FROM (SELECT unnest(partners, recursive := true) FROM expected_asset) WHERE name IS NOT NULL),
 n AS (SELECT name, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(name, '\([^)]*\)', ' ', 'g'),
  '\b(inc|llc|ltd|corp|corporation|co|company|pharmaceuticals?|pharma|therapeutics|biopharma|biosciences?|sa|ag|gmbh|plc|nv|monoclonals|a johnson . johnson company)\b\.?', ' ', 'gi'), '[.,]', ' ', 'g'), '\s+', ' ', 'g')) AS c FROM x)
 SELECT name, nullif(c, '') AS display, regexp_replace(lower(name), '[^a-z0-9]+', '', 'g') AS key FROM n""")
 def partner_names(s: SparkSession, d: str) -> DataFrame:
-    """Display names of partners in plain ASCII (word boundaries beside other letters differ between engines)."""
-    names = table(s, d, "expected_asset").select(F.explode("partners.name").alias("name")).where(F.col("name").rlike("^[ -~]*$")).distinct()
+    names = table(s, d, "expected_asset").select(F.explode("partners.name").alias("name")).where(F.col("name").isNotNull()).distinct()
     return names.select("name", tx.partner_display(F.col("name")).alias("display"), tx.name_key(F.col("name")).alias("key"))
 
 
@@ -307,11 +306,11 @@ def captures_with_hash_skip(s: SparkSession, d: str) -> DataFrame:
 _PHASE_WORDS = r"\b(pre[- ]?clinical|phase\s*[1-4]|phase\s*(?:i{1,3}|iv)\b|ph\s*[1-3]\b|registration|filed|approved|marketed|commercial|discovery)\b"
 
 
-@query(rf"""WITH x AS (SELECT doc_id, len(regexp_extract_all(text, '{_PHASE_WORDS}', 0, 'i')) AS hits, len(regexp_extract_all(text, '<tr\b', 0, 'i')) AS rows, regexp_matches(text, '<table\b', 'i') AS has_table FROM documents WHERE regexp_matches(text, '^[\x00-\x7f]*$'))
+@query(rf"""WITH x AS (SELECT doc_id, len(regexp_extract_all(text, '{_PHASE_WORDS}', 0, 'i')) AS hits, len(regexp_extract_all(text, '<tr\b', 0, 'i')) AS rows, regexp_matches(text, '<table\b', 'i') AS has_table FROM documents)
 SELECT doc_id, hits::INT AS hits, CASE WHEN has_table AND rows >= 4 AND hits >= 3 THEN 'html_table' WHEN hits >= 3 AND rows < 4 THEN 'js_cards' ELSE 'pipeline_page' END AS class FROM x""")
 def page_classes(s: SparkSession, d: str) -> DataFrame:
-    """Class of every ASCII document read as a page (word boundaries beside other letters differ between engines)."""
-    docs = table(s, d, "documents").where(F.col("text").rlike("^[\\x00-\\x7f]*$"))
+    """Class of every document read as a page."""
+    docs = table(s, d, "documents")
     return docs.select("doc_id", tx.phase_hits(F.col("text")).alias("hits"), web.page_class(F.col("text"), F.col("text"), F.lit(False)).alias("class"))
 
 
