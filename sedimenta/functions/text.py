@@ -195,3 +195,18 @@ def named_value(fields: Column, part: str) -> Column:
     """Value of the first name/value pair whose name contains ``part``."""
     found = F.filter(fields, lambda f: F.lower(f["name"]).contains(part))
     return F.when(F.size(found) > 0, found[0]["value"])
+
+
+def hash_material(text: Column, parts: Column) -> Column:
+    """Digest of a text and its artifacts' digests, errors and URLs, whose order doesn't count."""
+    return F.sha2(F.array_join(F.concat(F.array(spaced(text)), F.array_sort(F.array_compact(parts))), "\n"), 256)
+
+
+def markdown_table(rows: Column) -> Column:
+    """A table of cells as Markdown: blank rows dropped, short ones padded, a rule under the first."""
+    kept = F.filter(rows, lambda r: F.exists(r, lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""))
+    width = F.array_max(F.transform(kept, lambda r: F.size(r)))
+    full = F.transform(kept, lambda r: F.concat(F.transform(r, lambda c: F.coalesce(c, F.lit(""))), F.array_repeat(F.lit(""), width - F.size(r))))
+    lines = F.transform(full, lambda r: F.concat(F.lit("| "), F.array_join(r, " | "), F.lit(" |")))
+    rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), width), " | "), F.lit(" |"))
+    return F.when(F.size(kept) > 0, F.array_join(F.concat(F.slice(lines, 1, 1), F.array(rule), F.slice(lines, 2, F.size(lines))), "\n"))

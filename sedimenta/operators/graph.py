@@ -98,5 +98,6 @@ def neighbours(node: Column, mechanism: DataFrame, indication: DataFrame, born:
     edges = same_target.withColumn("kind", F.lit("mechanism")).withColumn("weight", F.lit(1.0)).unionByName(
         rivals.withColumn("kind", F.lit("competitive")).withColumn("weight", F.lit(0.7))
     )
-    own = born.where(F.col("member") == node).select(F.col("born_on").alias("_own"))
-    return edges.join(born, "member", "left").crossJoin(F.broadcast(own)).select("member", "kind", "weight", F.greatest("born_on", "_own").alias("born_on"))
+    own = born.where(F.col("member") == node).select("born_on").first()
+    since = F.lit(own[0] if own else None).cast(born.schema["born_on"].dataType)
+    return edges.join(born, "member", "left").select("member", "kind", "weight", F.greatest(F.col("born_on"), since).alias("born_on"))

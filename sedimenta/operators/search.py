@@ -43,8 +43,10 @@ def lexical_top(rows: DataFrame, query: str, top: int, *columns: str) -> DataFra
 
 
 def vector_top(rows: DataFrame, query: DataFrame, top: int = VECTOR_TOP) -> DataFrame:
-    """id, distance, rank of the ``top`` rows nearest to the one vector in ``query`` (column ``wanted``)."""
-    scored = rows.crossJoin(F.broadcast(query.limit(1))).select("id", F.round(cosine_distance(F.col("embedding"), F.col("wanted")), 9).alias("distance"))
+    """id, distance, rank of the ``top`` rows nearest to the one vector in ``query`` (column ``wanted``); none without it."""
+    found = query.select("wanted").first()
+    wanted = F.array(*[F.lit(float(x)) for x in found[0]]) if found and found[0] else F.lit(None).cast("array<double>")
+    scored = rows.select("id", F.round(cosine_distance(F.col("embedding"), wanted), 9).alias("distance")).where(F.col("distance").isNotNull())
     kept = scored.orderBy("distance", "id").limit(top)
     return _ranked(kept, F.col("distance"), F.col("id"))
 

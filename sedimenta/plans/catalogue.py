@@ -561,3 +561,93 @@ def related_programs(s: SparkSession, d: str) -> DataFrame:
     links = lambda c: versions.select(F.col("program_id").alias("member"), F.col(c).alias("key")).distinct()
     born = table(s, d, "program_born_on").groupBy(F.col("program_id").alias("member")).agg(F.min("born_on").alias("born_on"))
     return graph.neighbours(node, links("company_id"), links("indication_id"), born)
+
+
+@query(_FEED + """, t AS (SELECT period, type, direction, exit_class, status FROM ev WHERE period IS NOT NULL)
+SELECT period, count(*) FILTER (WHERE type = 'asset_added') AS added, count(*) FILTER (WHERE type = 'asset_phase_changed' AND direction = 'advance') AS advances,
+count(*) FILTER (WHERE type = 'asset_left_pipeline' AND status = 'confirmed') AS exits, count(*) FILTER (WHERE type = 'asset_left_pipeline' AND exit_class = 'late_stage_exit_ambiguous') AS late_exits,
+count(*) FILTER (WHERE type LIKE 'partner%') AS partner_changes FROM t GROUP BY 1""")
+def history_summary(s: SparkSession, d: str) -> DataFrame:
+    feed = changes.change_feed(_observations(s, d)).where(F.col("period").isNotNull())
+    n = lambda c: F.count(F.when(c, 1))
+    kind, left = F.col("type"), F.col("type") == "asset_left_pipeline"
+    return feed.groupBy("period").agg(
+        n(kind == "asset_added").alias("added"), n((kind == "asset_phase_changed") & (F.col("direction") == "advance")).alias("advances"),
+        n(left & (F.col("status") == "confirmed")).alias("exits"), n(left & (F.col("exit_class") == "late_stage_exit_ambiguous")).alias("late_exits"),
+        n(kind.startswith("partner")).alias("partner_changes"),
+    )
+
+
+_KEY = "regexp_replace(lower({c}), '[^a-z0-9]+', '', 'g')"
+
+
+@query(f"""WITH a AS (SELECT DISTINCT company_id, preferred_name, captured_at, loaded_at, expected_id, programs FROM expected_asset WHERE preferred_name IS NOT NULL),
+p AS (SELECT company_id, {_KEY.format(c='preferred_name')} AS asset, captured_at, loaded_at, expected_id, generate_subscripts(programs, 1) AS pos, unnest(programs) AS p FROM a),
+k AS (SELECT company_id, asset, {_KEY.format(c='p.indication_verbatim')} AS indication, p.phase_verbatim AS phase, captured_at, loaded_at, expected_id, pos FROM p WHERE p.indication_verbatim IS NOT NULL)
+SELECT company_id, asset, indication, phase, captured_at AS seen_at FROM k WHERE indication <> ''
+QUALIFY row_number() OVER (PARTITION BY company_id, asset, indication ORDER BY captured_at DESC, loaded_at DESC, expected_id DESC, pos DESC) = 1""")
+def gold_programs(s: SparkSession, d: str) -> DataFrame:
+    """Nested documents loaded as programs: one row per company, asset and indication, as last seen."""
+    rows = table(s, d, "expected_asset").where(F.col("preferred_name").isNotNull()).select("company_id", tx.name_key(F.col("preferred_name")).alias("asset"), "captured_at", "loaded_at", "expected_id", F.posexplode("programs").alias("pos", "p"))
+    keyed = rows.withColumn("indication", tx.name_key(F.col("p.indication_verbatim"))).where(F.col("indication") != "")
+    last = F.max_by(F.struct(F.col("p.phase_verbatim").alias("phase"), F.col("captured_at").alias("seen_at")), F.struct("captured_at", "loaded_at", "expected_id", "pos"))
+    return keyed.groupBy("company_id", "asset", "indication").agg(last.alias("m")).select("company_id", "asset", "indication", "m.*")
+
+
+@query("""WITH c AS (SELECT source_id, date_trunc('quarter', captured_at) AS quarter, count(DISTINCT asset_id) AS assets FROM capture_asset WHERE asset_id IS NOT NULL GROUP BY 1, 2),
+q AS (SELECT DISTINCT quarter FROM c), b AS (SELECT source_id, min(quarter) AS first FROM c GROUP BY 1),
+g AS (SELECT b.source_id, q.quarter, c.assets FROM b JOIN q ON q.quarter >= b.first LEFT JOIN c ON c.source_id = b.source_id AND c.quarter = q.quarter)
+SELECT source_id, quarter, assets IS NOT NULL AS observed, last_value(assets IGNORE NULLS) OVER (PARTITION BY source_id ORDER BY quarter) AS assets FROM g""")
+def carried_forward(s: SparkSession, d: str) -> DataFrame:
+    """Assets per source and quarter from its first on, quarters without a capture carrying the last count."""
+    rows = table(s, d, "capture_asset").where(F.col("asset_id").isNotNull())
+    counts = rows.groupBy("source_id", F.date_trunc("quarter", "captured_at").cast("timestamp_ntz").alias("quarter")).agg(F.countDistinct("asset_id").alias("assets"))
+    quarters = counts.select(F.col("quarter").alias("q")).distinct()  # as many as the years have
+    first = counts.groupBy("source_id").agg(F.min("quarter").alias("first"))
+    grid = first.join(F.broadcast(quarters), F.col("q") >= F.col("first")).select("source_id", F.col("q").alias("quarter"))
+    w = Window.partitionBy("source_id").orderBy("quarter")
+    return grid.join(counts, ["source_id", "quarter"], "left").select("source_id", "quarter", F.col("assets").isNotNull().alias("observed"), F.last("assets", ignorenulls=True).over(w).alias("assets"))
+
+
+@query("""SELECT DISTINCT company_id, preferred_name, target_verbatim, mechanism_verbatim FROM expected_asset
+WHERE upper(target_verbatim) = 'SYG1' OR mechanism_verbatim ILIKE '%SYG1%' OR len(list_filter(synonyms, lambda x: x ILIKE '%SYG1%')) > 0""")
+def assets_by_target(s: SparkSession, d: str) -> DataFrame:
+    a = table(s, d, "expected_asset")
+    hit = (F.upper("target_verbatim") == "SYG1") | F.col("mechanism_verbatim").ilike("%SYG1%") | F.exists("synonyms", lambda x: x.ilike("%SYG1%"))
+    return a.where(hit).select("company_id", "preferred_name", "target_verbatim", "mechanism_verbatim").distinct()
+
+
+@query("""WITH a AS (SELECT DISTINCT expected_id, preferred_name, modality_verbatim, target_verbatim, mechanism_verbatim, list_sort(list_distinct(list_transform(coalesce(programs, []), lambda p: p.indication_verbatim))) AS inds FROM expected_asset),
+t AS (SELECT expected_id, array_to_string(list_filter([preferred_name, modality_verbatim, target_verbatim, mechanism_verbatim, array_to_string(list_filter(inds, lambda x: x IS NOT NULL), ', ')], lambda x: x IS NOT NULL AND trim(x, ' ') <> ''), ' | ') AS text FROM a)
+SELECT expected_id, text, sha256('local-1024' || chr(10) || text) AS text_hash FROM t""")
+def embedding_corpus(s: SparkSession, d: str) -> DataFrame:
+    """The text to embed of each asset, with the hash that tells whether it changed."""
+    a = table(s, d, "expected_asset")
+    said = F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.coalesce(F.col("programs.indication_verbatim"), F.array().cast("array<string>"))))), ", ")
+    text = tx.embedding_text(F.col("preferred_name"), F.col("modality_verbatim"), F.col("target_verbatim"), F.col("mechanism_verbatim"), said)
+    return a.select("expected_id", text.alias("text")).distinct().select("expected_id", "text", tx.embedding_hash("local-1024", F.col("text")).alias("text_hash"))
+
+
+@query(f"""WITH {_PROGRAM} SELECT company_id, coalesce(phase_label, 'unmapped') AS phase, count(*) AS n, string_agg(DISTINCT indication, '; ' ORDER BY indication) AS indications, bool_or(status = 'active') AS any_active
+FROM prog WHERE valid_to IS NULL AND status <> 'discontinued' GROUP BY 1, 2""")
+def company_detail(s: SparkSession, d: str) -> DataFrame:
+    current = search.faceted(_programs(s, d).where(F.col("valid_to").isNull()), {}, active_only=True)
+    return current.groupBy("company_id", F.coalesce("phase_label", F.lit("unmapped")).alias("phase")).agg(
+        F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("indication")), "; ").alias("indications"), F.bool_or(F.col("status") == "active").alias("any_active")
+    )
+
+
+@query("""SELECT program_id FROM program_indication INTERSECT SELECT program_id FROM change_event WHERE event_at IS NOT NULL""")
+def programs_in_both(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "program_indication").select("program_id").intersect(table(s, d, "change_event").where(F.col("event_at").isNotNull()).select("program_id"))
+
+
+@query("""WITH d AS (SELECT company_id, count(*) AS documents, count(DISTINCT source) AS sources, max(captured_at) AS last_captured, arg_max(source, (captured_at, doc_id)) AS last_source FROM documents GROUP BY 1),
+p AS (SELECT company_id, count(DISTINCT program_id) AS programs FROM program_indication GROUP BY 1)
+SELECT d.*, coalesce(p.programs, 0) AS programs, CASE WHEN p.programs IS NULL THEN 'not_attempted' ELSE 'loaded' END AS status FROM d LEFT JOIN p USING (company_id)""")
+def coverage_report(s: SparkSession, d: str) -> DataFrame:
+    docs = table(s, d, "documents").groupBy("company_id").agg(
+        F.count(F.lit(1)).alias("documents"), F.countDistinct("source").alias("sources"), F.max("captured_at").alias("last_captured"), F.max_by("source", F.struct("captured_at", "doc_id")).alias("last_source")
+    )
+    programs = table(s, d, "program_indication").groupBy("company_id").agg(F.countDistinct("program_id").alias("programs"))
+    return docs.join(programs, "company_id", "left").select(*docs.columns, F.coalesce("programs", F.lit(0)).alias("programs"), F.when(F.col("programs").isNull(), "not_attempted").otherwise("loaded").alias("status"))

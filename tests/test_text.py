@@ -60,3 +60,11 @@ def test_similarities(spark):
     df = spark.createDataFrame([("word", "two words", [1.0, 0.0], [0.0, 2.0]), ("abc", "abc", [1.0, 1.0], [2.0, 2.0])], "a string, b string, x array<double>, y array<double>")
     rows = df.select(F.round(similarity.trigram_similarity(F.col("a"), F.col("b")), 6), F.round(similarity.cosine_distance(F.col("x"), F.col("y")), 6)).collect()
     assert [tuple(r) for r in rows] == [(0.363636, 1.0), (1.0, 0.0)]
+
+
+def test_markdown_and_hash_material(spark):
+    df = spark.createDataFrame([([["a", "b"], [" ", None], ["c"]],), ([[""]],)], "r array<array<string>>")
+    assert [r[0] for r in df.select(text.markdown_table(F.col("r"))).collect()] == ["| a | b |\n| --- | --- |\n| c |  |", None]
+    parts = spark.createDataFrame([("a b", ["y", "x", None]), ("a  b", ["x", "y"])], "t string, p array<string>")
+    first, second = (r[0] for r in parts.select(text.hash_material(F.col("t"), F.col("p"))).collect())
+    assert first == second
