@@ -146,11 +146,8 @@ def share_report(corpus: DataFrame, targets: DataFrame) -> DataFrame:
     got = corpus.groupBy("source").agg(
         F.count(F.lit(1)).alias("documents"), F.sum(F.col("tokens") * F.col("copies")).alias("tokens"), F.max("copies").alias("most_copies")
     )
-    total = got.agg(F.sum("tokens").alias("total"))
-    return (
-        targets.select("source", "target_share").distinct().join(got, "source", "left").crossJoin(F.broadcast(total))  # one row
-        .select(
-            "source", "target_share", F.round(F.coalesce(F.col("tokens") / F.col("total"), F.lit(0.0)), 6).alias("actual_share"),
-            F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
-        )
+    total = F.lit(got.agg(F.sum("tokens")).first()[0]).cast("double")
+    return targets.select("source", "target_share").distinct().join(got, "source", "left").select(
+        "source", "target_share", F.round(F.coalesce(F.col("tokens") / total, F.lit(0.0)), 6).alias("actual_share"),
+        F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
     )

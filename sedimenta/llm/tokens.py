@@ -16,17 +16,17 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: The encoder gets texts in pieces cut at line ends or blanks, so that one very long text needs no long buffer.
 PIECE = 200_000
 
-_ENCODERS: dict[str, object] = {}
-
 
 def encoder(path: str = VOCABULARY) -> object:
-    if path not in _ENCODERS:
-        import tiktoken
+    """The encoder of a vocabulary file, read once in a worker, however often its functions are sent to it."""
+    import tiktoken
 
+    held = tiktoken.__dict__.setdefault("_encoders_by_path", {})
+    if path not in held:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        _ENCODERS[path] = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODERS[path]
+        held[path] = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return held[path]
 
 
 def count_tokens(text: str | None, path: str = VOCABULARY) -> int:
