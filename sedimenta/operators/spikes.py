@@ -2,12 +2,11 @@
 
 Three rules over readings in order of time:
 
-* peaks over threshold: the residuals of each source against its local level get
-  a generalised Pareto tail (fitted to three upper quantiles, so the fit merges
-  over partitions), whose quantile at a fixed RISK is the source's cutoff.
-  Readings beyond it that also pass the exact check (away from the level before
-  and after by MIN_SCATTERS times the source's scatter and by MIN_STEP, the
-  level returning within MAX_RUN readings) are spikes.
+* exact distance: readings away from the level before and after by MIN_SCATTERS
+  times the source's scatter and by MIN_STEP, the level returning within MAX_RUN
+  readings, are spikes. The peaks-over-threshold cutoff of :func:`source_cutoffs`
+  (a generalised Pareto tail of the residuals against the local level, without a
+  seasonal component) decides nothing: asked first, it loses cases.
 * stuck duration: all but the first of more than MAX_STUCK identical readings,
   in a source whose readings ordinarily vary.
 * plausibility: values that such a measurement can't have.
@@ -228,7 +227,11 @@ def reading_features(stats: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) ->
 
 
 def source_cutoffs(features: DataFrame) -> DataFrame:
-    """Per source: whether it varies, and scatter and peaks-over-threshold cutoff of both fields."""
+    """Per source: whether it varies, and scatter and peaks-over-threshold cutoff of both fields.
+
+    The tail is fitted to three upper quantiles and its quantile at RISK is the
+    cutoff, for comparison only; :func:`implausible_readings` doesn't use it.
+    """
     quantiles = [0.5, 0.6, 0.8, 0.9]
 
     def fit(q: Column) -> Column:
@@ -278,7 +281,7 @@ def implausible_readings(stats: DataFrame, rows_per_block: int = ROWS_PER_BLOCK)
         exact = F.greatest(F.lit(MIN_STEP), MIN_SCATTERS * F.col(f"{f}_scatter"))
         dev = F.col(f"{f}_dev")
         between = (F.col(f"{f}_side") >= exact) & (dev >= F.greatest(F.lit(MIN_STEP), BETWEEN * exact))
-        return (dev >= F.least(F.col(f"{f}_cutoff"), exact)) & ((dev >= exact) | between)
+        return (dev >= exact) | between
 
     fields = F.array_compact(
         F.array(

@@ -62,3 +62,11 @@ def test_blocks_of_a_hot_source_change_nothing(spark, day):
     whole = flags(spark, day, s)
     assert len(whole) > 30
     assert flags(spark, day, s, rows_per_block=120) == whole
+
+
+def test_a_reading_between_spikes_needs_no_tail_cutoff(spark, day):
+    s = noisy(60)
+    for i in (5, 12, 40, 47, 54):  # a heavy tail: its cutoff lies far above the exact distance
+        s[i] = 300
+    s[26:29] = [180, 118, 180]
+    assert flags(spark, day, s) == [(i, "assets") for i in (5, 12, 26, 27, 28, 40, 47, 54)]
