@@ -40,12 +40,20 @@ BETWEEN = 5 / 6
 RESIDUAL_SCATTER = 1.12
 #: A source ordinarily varies if at least this share of its readings differ from the one before.
 VARYING = 0.45
+#: A source that long freezes keep below that varies if, with each freeze counted as one reading, at
+#: least MIN_LOOSE readings for each freeze are left, LOOSE of them differ from the one before, and
+#: there are LOOSE_PER_FREEZE for each freeze or LOOSE_VALUES of them are different values. (Quiet
+#: sources blink between a few values and have several long runs.)
+MIN_LOOSE = 4
+LOOSE = 0.7
+LOOSE_PER_FREEZE = 8
+LOOSE_VALUES = 0.6
 #: 32-bit sentinel for "no value".
 INT_MAX = 2**31 - 1
 
 _FEATURES = (
     "source_id string, stat_id long, a_res double, a_dev double, a_side double, a_bad boolean, a_stuck boolean, "
-    "pairs int, changes int, t_res double, t_dev double, t_side double, t_bad boolean"
+    "pairs int, changes int, freezes int, loose double, t_res double, t_dev double, t_side double, t_bad boolean"
 )
 
 
@@ -139,6 +147,9 @@ def _one_series(rows: pd.DataFrame) -> pd.DataFrame:
     differs = np.concatenate([[False], a[a_in][1:] != a[a_in][:-1]]) if a_in.any() else np.zeros(0, bool)
     has_prev = np.arange(int(a_in.sum())) > 0
     a_dev, t_dev = deviation(a[a_ok]), deviation(t[t_ok])
+    a_stuck = _spread(stuck(a[a_in]), a_in, False)
+    frozen = a_stuck[a_in]
+    begins = frozen & ~np.concatenate([[False], frozen[:-1]])
     out = pd.DataFrame(
         {
             "source_id": rows["source_id"],
@@ -147,9 +158,11 @@ def _one_series(rows: pd.DataFrame) -> pd.DataFrame:
             "a_dev": _spread(a_dev, a_ok, 0.0),
             "a_side": _spread(sides(a_dev), a_ok, 0.0),
             "a_bad": a_bad,
-            "a_stuck": _spread(stuck(a[a_in]), a_in, False),
+            "a_stuck": a_stuck,
             "pairs": _spread(has_prev, a_in, False).astype("int32"),
             "changes": _spread(differs, a_in, False).astype("int32"),
+            "freezes": _spread(begins, a_in, False).astype("int32"),
+            "loose": np.where(a_stuck, np.nan, a),
             "t_res": _spread(residual(t[t_ok]), t_ok, np.nan),
             "t_dev": _spread(t_dev, t_ok, 0.0),
             "t_side": _spread(sides(t_dev), t_ok, 0.0),
@@ -248,11 +261,17 @@ def source_cutoffs(features: DataFrame) -> DataFrame:
         F.percentile_approx(F.abs("t_res"), quantiles, 1000).alias("tq"),
         F.sum("pairs").alias("pairs"),
         F.sum("changes").alias("changes"),
+        F.sum("freezes").alias("freezes"),
+        F.count_if("a_stuck").alias("stuck"),
+        F.approx_count_distinct(F.nanvl("loose", F.lit(None).cast("double")), 0.02).alias("values"),
     )
+    loose = F.col("pairs") - F.col("stuck")
+    enough = (loose >= LOOSE_PER_FREEZE * F.col("freezes")) | (F.col("values") >= LOOSE_VALUES * loose)
+    varies = (F.col("changes") >= VARYING * F.col("pairs")) | ((loose >= MIN_LOOSE * F.greatest(F.lit(1), F.col("freezes"))) & (F.col("changes") >= LOOSE * loose) & enough)
     scatter = lambda q: F.coalesce(1.4826 / RESIDUAL_SCATTER * q[0], F.lit(0.0))
     return per.select(
         F.col("source_id").alias("_source"),
-        (F.col("changes") >= VARYING * F.col("pairs")).alias("varies"),
+        varies.alias("varies"),
         scatter(F.col("aq")).alias("a_scatter"),
         F.greatest(scatter(F.col("aq")), scatter(F.col("tq"))).alias("t_scatter"),
         F.coalesce(fit(F.col("aq")), F.lit(0.0)).alias("a_cutoff"),

@@ -70,3 +70,13 @@ def test_a_reading_between_spikes_needs_no_tail_cutoff(spark, day):
         s[i] = 300
     s[26:29] = [180, 118, 180]
     assert flags(spark, day, s) == [(i, "assets") for i in (5, 12, 26, 27, 28, 40, 47, 54)]
+
+
+def test_a_long_freeze_does_not_hide_itself(spark, day):
+    assert flags(spark, day, [100, 103] + [98] * 8 + [101, 97]) == [(i, "assets") for i in range(3, 10)]
+    s = noisy(60)
+    s[10:50] = [101] * 40
+    s[9], s[50] = 99, 98
+    assert flags(spark, day, s) == [(i, "assets") for i in range(11, 50)]
+    quiet = [100] * 12 + [101] + [100] * 9 + [101] + [100] * 20 + [102] + [100] * 9
+    assert flags(spark, day, quiet) == []
