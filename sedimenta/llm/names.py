@@ -2,9 +2,9 @@
 
 Names are read into forms (core tokens, kind of organisation, initials), so that
 case, accents, order, legal forms, abbreviations and nicknames no longer differ.
-Forms meet by MinHash bands over the padded q-grams of their core tokens, are
-verified by Monge-Elkan similarity over a typing distance, and are clustered
-into stars around the most complete and best connected form.
+Forms meet over near tokens, found by symmetric deletion, are verified by
+Monge-Elkan similarity over a typing distance, and are clustered into stars
+around the most complete and best connected form.
 """
 
 from __future__ import annotations
@@ -21,18 +21,9 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.components import components, smallest_labels
 from sedimenta.llm.edits import typing_distance
-from sedimenta.llm.minhash import MinHash, bands_for, edit_similarity
 from sedimenta.llm.star import star_clusters
 from sedimenta.session import cut
 
-Q = 3
-#: A transposition in a token of length n replaces four of its n + 2 padded
-#: 3-grams. Bands are set for such a slip in a token of this length.
-TUNED_LENGTH = 11
-RECALL = 0.995
-ROWS = 3
-#: Band keys with more forms than this are split by a band of the whole form.
-CROWDED = 200
 ACCEPT = 0.80
 
 #: Words for kinds of organisation (fixed values); a token is read as one of
@@ -200,6 +191,8 @@ def organisation_similarity(a: str, b: str) -> float:
     if len(ta) == len(tb):
         score = min(score, monge_elkan(tb, ta, 2.0))
         if ia != ib:
+            if len(ta) == 1 and ia and ib and not set(ia) & set(ib):
+                return 0.0  # 'N. Kestrel' isn't 'P. Kestrel'
             score *= 0.9
     elif score:
         # The shorter form leaves tokens out: by initial, or (a lone token) altogether.
@@ -262,73 +255,131 @@ def _spellings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(list(out), columns=["kind", "name", "form", "hub"])
 
 
-def _bands() -> int:
-    return bands_for(edit_similarity(TUNED_LENGTH, Q, 4), RECALL, ROWS)
+def _slips(kind: str, n: int) -> int:
+    """The most slips the verification forgives in a pair of tokens of which the longer has ``n`` letters."""
+    if kind == "asset":
+        return 0 if n < 7 else 1 if n < 12 else 2
+    return min(2, n // 4)
 
 
-def _band_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """band, role, form: a form's bands per core token.
+def deletions(text: str, depth: int) -> set[str]:
+    found = layer = {text}
+    for _ in range(depth):
+        layer = {t[:i] + t[i + 1 :] for t in layer for i in range(len(t))}
+        found = found | layer
+    return found
+
+
+def _deletion_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """key, token, part: what is left of a token after as many deletions as the verification forgives slips.
 
-    A form of several tokens carries the first letter of the other one in its
-    band, so that a common token alone brings nothing together; it also waits
-    (role 't') for forms that consist of the one token (role 'q').
+    A slip takes at most one letter from either token, so two tokens within the
+    limit always share a key, whatever their length. ``part`` marks the lone
+    tokens that may be two tokens written together.
     """
-    hasher = MinHash(_bands(), ROWS, Q)
     for batch in batches:
-        rows = set()
-        for kind, form in zip(batch["kind"], batch["form"], strict=True):
-            core, initials = _core(kind, form)
-            tokens = core.split()
-            for i, t in enumerate(tokens):
-                if t in NICKNAMES and kind == "partner":
-                    continue
-                others = {x[0] for j, x in enumerate(tokens) if j != i} | set(initials)
-                for key in hasher.keys(t):
-                    rows.update((hash_of(kind, key, letter), "m", form) for letter in others)
-                    rows.add((hash_of(kind, key, ""), "t" if others else "q", form))
-        yield pd.DataFrame(list(rows), columns=["band", "role", "form"])
+        rows = [
+            (hash_of(kind, key), token, part)
+            for kind, token, part in zip(batch["kind"], batch["token"], batch["part"], strict=True)
+            for key in deletions(token, _slips(kind, len(token)))
+        ]
+        yield pd.DataFrame(rows, columns=["key", "token", "part"])
 
 
-def hash_of(kind: str, key: int, letter: str) -> int:
-    return xxhash.xxh64_intdigest(f"{kind}|{key}|{letter}") - (1 << 63)
+def hash_of(kind: str, key: str) -> int:
+    return xxhash.xxh64_intdigest(f"{kind}|{key}") - (1 << 63)
 
 
-def _core(kind: str, form: str) -> tuple[str, str]:
+def near_tokens(tokens: DataFrame, kind: str) -> DataFrame:
+    """x, y, part: all pairs of tokens, in both orders and each with itself, within the slips the verification forgives.
+
+    ``tokens`` has kind, token and part; a pair needs one token that isn't
+    joined from two (part '+') and of those only a lone one (part '1') meets them.
+    """
+    keyed = cut(tokens.repartition("token").mapInPandas(_deletion_keys, "key long, token string, part string"))
+    a = keyed.select("key", F.col("token").alias("x"), F.col("part").alias("px"))
+    b = keyed.select("key", F.col("token").alias("y"), F.col("part").alias("py"))
+    met = a.join(b, "key").where(((F.col("px") != "+") & (F.col("py") != "+")) | ((F.col("px") == "1") & (F.col("py") == "+"))).select("x", "y", "py").distinct()
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = [typing_distance(x, y, 2.0) <= _slips(kind, max(len(x), len(y))) for x, y in zip(batch["x"], batch["y"], strict=True)]
+            yield batch[keep]
+
+    return met.mapInPandas(verify, "x string, y string, py string")
+
+
+def _core(kind: str, form: str) -> tuple[list[str], list[str]]:
     parts = form.split("|")
-    return (parts[0], parts[2]) if kind == "partner" else (form[2:], "")
+    return (parts[0].split(), list(parts[2])) if kind == "partner" else (form[2:].split(), [])
 
 
-def _wide_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """form, wide: the bands of a form's core as a whole."""
-    hasher = MinHash(_bands(), ROWS, Q, seed=11)
+def _seats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """role, token, beside, form: where a form's tokens stand; see :func:`candidate_pairs`."""
     for batch in batches:
-        yield pd.DataFrame({"form": batch["form"], "wide": [hasher.keys(_core(k, f)[0].replace(" ", "")) for k, f in zip(batch["kind"], batch["form"], strict=True)]})
+        rows = set()
+        for kind, form in zip(batch["kind"], batch["form"], strict=True):
+            tokens, initials = _core(kind, form)
+            n = len(tokens)
+            if n == 1:
+                for letter in initials or [""]:
+                    rows.add(("one", tokens[0], letter, form))
+                if not initials:
+                    rows.add(("lone", tokens[0], "", form))
+            elif n:
+                rows.add((f"first{n}", tokens[0], tokens[1], form))
+                rows.update((f"any{n}", x, y, form) for i, x in enumerate(tokens) for j, y in enumerate(tokens) if i != j)
+            if n == 2 and kind == "partner":
+                rows.update(("joined", x, "", form) for x in (tokens[0] + tokens[1], tokens[1] + tokens[0]))
+            for x in tokens if kind == "partner" else []:
+                rows.update(("short", x, letter, form) for letter in initials)
+                if n > 1:
+                    rows.add(("in", x, "", form))
+                    rows.update(("beside", x, y[0], form) for j, y in enumerate(tokens) if tokens.index(x) != j)
+        yield pd.DataFrame(list(rows), columns=["role", "token", "beside", "form"])
 
 
 def candidate_pairs(forms: DataFrame, kind: str) -> DataFrame:
-    """kind, a, b (a < b) of forms of one kind that share a band; see :func:`_band_keys`."""
+    """kind, a, b (a < b) of forms of one kind that the verification may accept; none is left out.
+
+    Forms meet over pairs of near tokens, of which a common token has as many as
+    it has spellings:
+
+    * forms of equally many tokens, if the first two of one are near two of the
+      other (both at once, so a common token alone brings nothing together);
+      forms of one token, if an initial is the same or one has none;
+    * a lone token and the forms with a token near it, or with two that it joins;
+    * a form with initials and the forms with a near token beside one of that letter.
+    """
     own = forms.where(F.col("kind") == kind).select("kind", "form").distinct().repartition("form")
-    keyed = cut(own.mapInPandas(_band_keys, "band long, role string, form string"))
-    crowded = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > CROWDED).select("band")
-    crowded = cut(crowded)
-    small = keyed.join(crowded, "band", "left_anti")
-    # Crowded bands: pairs must also share a band of the whole form, set for the same recall.
-    many = keyed.join(crowded, "band", "left_semi")
-    wide = own.join(many.select("form").distinct(), "form", "left_semi").select("kind", "form").mapInPandas(_wide_keys, "form string, wide array<long>")
-    big = (
-        many.join(wide, "form")
-        .select("role", "form", F.col("band").alias("_b"), F.posexplode("wide").alias("_i", "_w"))
-        .select(F.xxhash64("_b", "_i", "_w").alias("band"), "role", "form")
-    )
-    ready = small.select("band", "role", "form").unionByName(big)
-    left = ready.where(F.col("role") != "t").select("band", F.col("role").alias("ra"), F.col("form").alias("fa"))
-    right = ready.select("band", F.col("role").alias("rb"), F.col("form").alias("fb"))
-    met = left.join(right, "band").where(
-        (F.col("fa") != F.col("fb")) & (((F.col("ra") == "m") & (F.col("rb") == "m") & (F.col("fa") < F.col("fb"))) | ((F.col("ra") == "q") & (F.col("rb") != "m")))
-    )
-    if kind == "asset":  # two slips of a typing person change at most four letters
-        met = met.where(F.levenshtein("fa", "fb", 8) >= 0)
-    return met.select(F.lit(kind).alias("kind"), F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")).distinct()
+    seats = cut(own.mapInPandas(_seats, "role string, token string, beside string, form string"))
+    seat = lambda *roles: seats.where(F.col("role").isin(*roles))
+    part = F.when(F.max(F.col("role") != "joined"), F.when(F.max(F.col("role") == "one"), "1").otherwise("")).otherwise("+")
+    tokens = seats.groupBy("token").agg(part.alias("part")).select(F.lit(kind).alias("kind"), "token", "part")
+    tokens = tokens.unionByName(seat("joined").select(F.lit(kind).alias("kind"), "token", F.lit("+").alias("part"))).distinct()
+    near = cut(near_tokens(tokens, kind))
+    plain_near = near.where("py <> '+'").select("x", "y")
+
+    def meet(left: DataFrame, right: DataFrame, pairs: DataFrame, *on: str) -> DataFrame:
+        moved = left.select(F.col("token").alias("x"), "beside", F.col("form").alias("fa")).join(pairs, "x")
+        here = right.select(F.col("token").alias("y"), "beside", F.col("form").alias("fb"))
+        return moved.join(here, ["y", *on]).select("fa", "fb")
+
+    # Each side widens one of the two tokens by its near ones and both meet on the exact two.
+    size = F.regexp_extract("role", r"\d+", 0).alias("n")
+    first = seats.where(F.col("role").startswith("first")).select(size, F.col("token").alias("p"), F.col("beside").alias("x"), F.col("form").alias("fa"))
+    others = seats.where(F.col("role").startswith("any")).select(size, F.col("token").alias("x"), F.col("beside").alias("q"), F.col("form").alias("fb"))
+    equal = first.join(plain_near, "x").select("n", "p", F.col("y").alias("q"), "fa").join(
+        others.join(plain_near, "x").select("n", F.col("y").alias("p"), "q", "fb"), ["n", "p", "q"]
+    ).select("fa", "fb")
+    lettered = seat("one").where("beside <> ''")
+    met = equal.unionByName(meet(lettered, lettered, plain_near, "beside")).unionByName(meet(seat("lone"), seat("one"), plain_near))
+    if kind == "partner":
+        known = seat("lone").where(~F.col("token").isin(*NICKNAMES))  # a given name alone names nobody in particular
+        met = met.unionByName(meet(known, seat("in"), plain_near))
+        met = met.unionByName(meet(seat("one").withColumn("beside", F.lit("")), seat("joined"), near.where("py = '+'").select("x", "y")))
+        met = met.unionByName(meet(seat("short"), seat("beside"), plain_near, "beside"))
+    return met.where(F.col("fa") != F.col("fb")).select(F.lit(kind).alias("kind"), F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")).distinct()
 
 
 def verified_pairs(pairs: DataFrame) -> DataFrame:

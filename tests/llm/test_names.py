@@ -2,7 +2,7 @@ import pytest
 
 from sedimenta.llm.edits import typing_distance
 from sedimenta.llm.minhash import MinHash, bands_for, collision, edit_similarity, qgrams
-from sedimenta.llm.names import asset_forms, asset_similarity, name_clusters, organisation_form, organisation_similarity, variant_pairs
+from sedimenta.llm.names import ACCEPT, asset_forms, asset_similarity, candidate_pairs, name_clusters, organisation_form, organisation_similarity, variant_pairs
 from sedimenta.llm.star import star_clusters
 
 SCHEMA = "expected_id long, preferred_name string, synonyms array<string>, partners array<struct<name:string,role:string,territory:string>>"
@@ -94,3 +94,20 @@ def test_stars_follow_the_greedy_pass(spark):
     p = spark.createDataFrame([(n, (len(near[n]), n)) for n in near], "node long, prio struct<degree:int,id:long>")
     assert {r.node: r.center for r in star_clusters(e, p).collect()} == expected
     assert star_clusters(e.limit(0), p).count() == 0
+
+
+def missed(spark, kind, forms, similarity):
+    """Pairs that the verification accepts and that are no candidates, and how many it accepts."""
+    forms = sorted(set(forms))
+    df = spark.createDataFrame([(kind, f) for f in forms], "kind string, form string")
+    met = {(r.a, r.b) for r in candidate_pairs(df, kind).collect()}
+    true = {(a, b) for i, a in enumerate(forms) for b in forms[i + 1 :] if similarity(a, b) >= ACCEPT}
+    return true - met, len(true)
+
+
+def test_a_crowded_token_loses_no_pair(spark):
+    tails = [a + b + c for a in ("novam", "bexor", "tiluk", "garod", "pimez", "sufan") for b in ("ed", "il", "or") for c in ("an", "ux", "ip", "eth", "yl", "ok", "um", "ars", "int", "ob", "eg", "olf", "ax")]
+    names = [f"Kestrel {t}" for t in tails] + ["Kestrel", "Kestrle Ltd", "Kestrel Inc", "N. Kestrel", "B. Kesterl", "Kestrel P.", "Kestrelnovamedan"]
+    names += [f"Kestrel {t[:3]}{t[4]}{t[3]}{t[5:]}" for t in tails[::9]] + [f"Keestrel {t}" for t in tails[::11]] + [f"Catherine {t}" for t in tails[::20]] + [f"C. {t}" for t in tails[::20]]
+    lost, n = missed(spark, "partner", [organisation_form(x) for x in names], organisation_similarity)
+    assert n > 800 and not lost
