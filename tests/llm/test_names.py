@@ -111,3 +111,13 @@ def test_a_crowded_token_loses_no_pair(spark):
     names += [f"Kestrel {t[:3]}{t[4]}{t[3]}{t[5:]}" for t in tails[::9]] + [f"Keestrel {t}" for t in tails[::11]] + [f"Catherine {t}" for t in tails[::20]] + [f"C. {t}" for t in tails[::20]]
     lost, n = missed(spark, "partner", [organisation_form(x) for x in names], organisation_similarity)
     assert n > 800 and not lost
+
+
+def test_a_slip_in_a_token_of_any_length_is_met(spark):
+    words = [(a + b + c)[:n] for n in (4, 5, 6, 7, 8, 9, 11, 13) for a in ("baf", "kit", "rom", "zep") for b in ("eloni", "uvari", "ocade") for c in ("dimur", "pusel")]
+    names = words + [w[:1] + w[2] + w[1] + w[3:] for w in words] + [w[:-2] + w[-1] + w[-2] for w in words] + [w[0] + w[2:] for w in words]
+    names += [w[:1] + w[2] + w[1] + w[3:-2] + w[-1] + w[-2] for w in words if len(w) >= 8]
+    lost, n = missed(spark, "partner", [f for x in names if (f := organisation_form(x))], organisation_similarity)
+    assert n > 200 and not lost
+    lost, n = missed(spark, "asset", ["w|" + x for x in names], asset_similarity)
+    assert n > 100 and not lost
