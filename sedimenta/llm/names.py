@@ -185,8 +185,8 @@ def organisation_similarity(a: str, b: str) -> float:
     ta, tb = ca.split(), cb.split()
     if len(ta) > len(tb) or (len(ta) == len(tb) and ia and not ib):
         (ta, ia, la, kinds_a), (tb, ib, lb, kinds_b) = (tb, ib, lb, kinds_b), (ta, ia, la, kinds_a)
-    if all(t in NICKNAMES for t in ta):
-        return 0.0
+    if all(t in NICKNAMES for t in ta) and (ca != cb or ia != ib or bool(kinds_a) != bool(kinds_b)):
+        return 0.0  # given names alone name one organisation only if nothing but the legal form differs
     score = monge_elkan(ta, tb, 2.0)
     if len(ta) == len(tb):
         score = min(score, monge_elkan(tb, ta, 2.0))

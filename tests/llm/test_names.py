@@ -121,3 +121,11 @@ def test_a_slip_in_a_token_of_any_length_is_met(spark):
     assert n > 200 and not lost
     lost, n = missed(spark, "asset", ["w|" + x for x in names], asset_similarity)
     assert n > 100 and not lost
+
+
+def test_reordered_assets_and_given_names_meet(spark):
+    lost, n = missed(spark, "asset", ["w|zimofarotinib dalemucetol", "w|dalemucetol zimofarotinib", "w|dalemucetol zimofaortinib"], asset_similarity)
+    assert n == 3 and not lost
+    names = ["Martha Therapeutics Inc.", "Martha Therapeutics", "Henry James Institute", "Henry James Inst. Ltd", "Henry J. Institute", "Martha Oncology", "Martha", "Matthew Therapeutics"]
+    lost, n = missed(spark, "partner", [organisation_form(x) for x in names], organisation_similarity)
+    assert n == 2 and not lost
