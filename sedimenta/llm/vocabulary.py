@@ -13,6 +13,8 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import product
+from math import prod
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,6 +27,8 @@ from sedimenta.llm.names import plain
 UNMATCHED = "unmatched"
 #: The list is broadcast; a longer one is refused.
 MAX_ENTRIES = 20_000
+#: Values with more readings are read once, with all meanings of their words.
+MAX_READINGS = 4_096
 _ONE = {word: first for first, words in SAME.items() for word in words.split()}
 _BRITISH = [(r"aem(?=i|o)", "em"), (r"oed", "ed"), (r"umour", "umor"), (r"isation\b", "ization"), (r"ised\b", "ized"), (r"labell", "label"), (r"paed", "ped"), (r"thalass?aemia", "thalassemia"), (r"programme", "program")]
 _NOISE = re.compile(r"\[[^\]]*\]|\(\s*(?:ongoing|updated|new|eu|us|jp|[a-z]{2}(?:\s*,\s*[a-z]{2})+)\s*\)|,?\s*see (?:foot)?note(?:\s*\d+)?\s*$|\s+-\s+(?:ongoing|updated|new)\s*$")
@@ -89,6 +93,11 @@ class Terms:
                 self.by_deletion[d].append(term)
         self.vocabulary = {t for term in self.codes for t in term.split()} | ({"phase"} if vocab == "phase" else set())
         self.vocabulary |= {word for word, first in _ONE.items() if first in self.vocabulary}
+        #: The words of each term, by word: what else a value must have for the word to matter.
+        self.having: dict[str, set[frozenset]] = defaultdict(set)
+        for term in [*map(str.split, self.codes), *self.bags]:
+            for w in term:
+                self.having[w].add(frozenset(term))
         self.word_deletion: dict[str, list[str]] = defaultdict(list)
         for w in self.vocabulary:
             for d in deletions(w, int(min(1.0, limit_for(len(w))))):
@@ -113,17 +122,33 @@ class Terms:
                 ranked.append((d, -self.frequency.get(c, 0), c))
         return sorted(ranked)
 
-    def _corrected(self, tokens: list[tuple[str, bool]]) -> list[list[str]]:
-        """The value with its words corrected; several readings where words are equally near."""
-        readings: list[list[str]] = [[]]
+    def _options(self, tokens: list[tuple[str, bool]]) -> list[list[str]]:
+        """Per word what it may stand for: itself, all words equally near, or all that begin with it before a full stop."""
+        found = []
         for w, dotted in tokens:
             options = [w]
             if w not in self.vocabulary and len(w) >= 4 and (near := self._near(w, self.word_deletion, 1.0)):
-                options = [c for d, _, c in near if d == near[0][0]][:3]
+                options = [c for d, _, c in near if d == near[0][0]]
             elif dotted and w not in self.vocabulary and len(w) >= 3:
-                options = sorted(v for v in self.vocabulary if v.startswith(w))[:3] or [w]
-            readings = [r + [_ONE.get(o, o)] for r in readings for o in options][:9]
-        return readings
+                options = sorted(v for v in self.vocabulary if v.startswith(w)) or [w]
+            found.append(list(dict.fromkeys(_ONE.get(o, o) for o in options)))
+        return found
+
+    def _corrected(self, tokens: list[tuple[str, bool]]) -> Iterator[list[str]]:
+        """The readings of the value with its words corrected, as many as the words that are open have meanings.
+
+        A word in no term with what stands beside it changes no reading's term, so
+        of several such meanings one is enough.
+        """
+        options = self._options(tokens)
+        around = [{o for other in options[:i] + options[i + 1 :] for o in other} for i in range(len(options))]
+        kept = []
+        for words_, beside in zip(options, around, strict=True):
+            useful = [o for o in words_ if any(t <= beside | {o} for t in self.having.get(o, ()))]
+            kept.append(useful + [o for o in words_ if o not in useful][:1] if len(words_) > 1 else words_)
+        if prod(map(len, kept)) > MAX_READINGS:  # all meanings side by side; terms are then found in any order
+            kept = [[o] for words_ in kept for o in words_]
+        return (list(reading) for reading in product(*kept))
 
     def code(self, value: str) -> str:
         """The code ``value`` means, or UNMATCHED."""
@@ -133,16 +158,19 @@ class Terms:
             return self.codes[text]
         if (near := self._near(text, self.by_deletion, 2.0)) and (len(near) == 1 or near[0][:2] < near[1][:2] or self.codes[near[0][2]] == self.codes[near[1][2]]):
             return self.codes[near[0][2]]
-        found = {self._read(fixed) for fixed in self._corrected(tokens)} - {UNMATCHED}
+        read = {r for fixed in self._corrected(tokens) if (r := self._read(fixed))[1] != UNMATCHED}
+        most = max((size for size, _ in read), default=0)
+        found = {code for size, code in read if size == most}  # of the readings, those with the term of most words
         return found.pop() if len(found) == 1 else UNMATCHED
 
-    def _read(self, tokens: list[str]) -> str:
+    def _read(self, tokens: list[str]) -> tuple[int, str]:
+        """Words and code of the term a reading has."""
         if self.vocab == "phase" and (m := _PHASE.search(" ".join(tokens))):
-            return self.phases.get(tuple(sorted({x for x in m.groups() if x})), UNMATCHED)
+            return 1, self.phases.get(tuple(sorted({x for x in m.groups() if x})), UNMATCHED)
         return self._contained(tokens)
 
-    def _contained(self, tokens: list[str]) -> str:
-        """The code of the longest term in ``tokens``: most words, words in place before words in any order, most letters."""
+    def _contained(self, tokens: list[str]) -> tuple[int, str]:
+        """Words and code of the longest term in ``tokens``: most words, words in place before words in any order, most letters."""
         ranked: list[tuple[tuple[int, int, int], str]] = []
         n = len(tokens)
         for i in range(n):
@@ -152,9 +180,9 @@ class Terms:
                     ranked.append(((size, 1, len(term)), self.codes[term]))
         bag = {t for t in tokens if t not in STOP}
         ranked += [((len(t), 0, sum(map(len, t))), code) for t, code in self.bags.items() if len(t) > 1 and t <= bag]
-        best = max((rank for rank, _ in ranked), default=None)
+        best = max((rank for rank, _ in ranked), default=(0, 0, 0))
         found = {code for rank, code in ranked if rank == best}
-        return found.pop() if len(found) == 1 else UNMATCHED
+        return best[0], found.pop() if len(found) == 1 else UNMATCHED
 
 
 def read_entries(vocabulary: DataFrame) -> dict[str, list[tuple[str, str, list[str]]]]:

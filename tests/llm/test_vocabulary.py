@@ -39,3 +39,10 @@ def test_mapping_of_nested_rows(spark):
     assert misses(mapping).count() == 2
     assert {r.code for r in mapped_verbatims(spark.createDataFrame(rows, schema), vocab.limit(0)).collect()} == {UNMATCHED}
     assert mapped_verbatims(spark.createDataFrame([], schema), vocab).count() == 0
+
+
+def test_an_abbreviation_depends_on_what_fits_not_on_the_alphabet():
+    terms = Terms("indication", [("MM", "Multiple myeloma", []), ("MS", "Multiple sclerosis", []), ("A", "Acute myeloblastic leukemia", []), ("B", "Chronic myelogenous leukemia", []), ("C", "Acute myeloid sarcoma", []), ("D", "Myelitis", [])])
+    assert terms.code("Multiple myel.") == "MM" and terms.code("mult. myel.") == "MM"
+    assert terms.code("chronic myel. leuk.") == "B" and terms.code("acute myel.") == UNMATCHED
+    assert terms.code("multiple " + "myel. leuk. acu. sar. " * 40) == "A"
