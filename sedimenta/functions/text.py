@@ -52,6 +52,13 @@ STAGE_WORDS = (
     "perioperative", "previously untreated", "previously treated", "early-stage", "early stage",
     "high-risk", "high risk", "low-risk",
 )
+ENDED_WORDS = "discontinu|terminat|removed|withdrawn"
+PAUSED_WORDS = "hold|pause|suspend"
+INACTIVE_WORDS = "(?i)discontinu|removed|terminat|withdraw|inactiv|no longer|delist"
+CODE_SHAPE = r"^[A-Za-z]{1,6}[- ]?\d{2,}"
+COMBINATION_TAIL = r"(?i)\s+(in\s+)?combination with .*$"
+POPULATION_TAIL = r"(?i),\s+(adults?|patients?|in\b).*$"
+LINE_OF_THERAPY = r"(?i)^(\s*(\d+l\+?|first[- ]line|second[- ]line|third[- ]line)\s+)+"
 # ---- end of fixed values ----
 
 
@@ -95,17 +102,17 @@ def phase_identity(verbatim: Column) -> Column:
 def development_status(status: Column, phase: Column, code: Column) -> Column:
     """discontinued, paused or active from what the page says."""
     said = F.lower(F.concat_ws(" ", F.coalesce(status, F.lit("")), F.coalesce(phase, F.lit(""))))
-    ended = F.coalesce(code == "discontinued", F.lit(False)) | said.rlike("discontinu|terminat|removed|withdrawn")
-    return F.when(ended, "discontinued").when(said.rlike("hold|pause|suspend"), "paused").otherwise("active")
+    ended = F.coalesce(code == "discontinued", F.lit(False)) | said.rlike(ENDED_WORDS)
+    return F.when(ended, "discontinued").when(said.rlike(PAUSED_WORDS), "paused").otherwise("active")
 
 
 def is_active_program(status: Column, phase: Column) -> Column:
-    gone = F.coalesce(status.rlike("(?i)discontinu|removed|terminat|withdraw|inactiv|no longer|delist"), F.lit(False))
+    gone = F.coalesce(status.rlike(INACTIVE_WORDS), F.lit(False))
     return ~gone & (phase_identity(F.coalesce(phase, F.lit(""))) != "discontinued")
 
 
 def is_development_code(name: Column) -> Column:
-    return name.rlike(r"^[A-Za-z]{1,6}[- ]?\d{2,}")
+    return name.rlike(CODE_SHAPE)
 
 
 def development_codes(name: Column) -> Column:
@@ -140,9 +147,9 @@ def therapeutic_area(*texts: Column) -> Column:
 def clean_indication(label: Column) -> Column:
     """An indication without parentheses, combination partners, population and line of therapy."""
     s = F.regexp_replace(label, r"\s*\([^)]*\)", "")
-    s = F.regexp_replace(s, r"(?i)\s+(in\s+)?combination with .*$", "")
-    s = F.regexp_replace(s, r"(?i),\s+(adults?|patients?|in\b).*$", "")
-    s = F.regexp_replace(s, r"(?i)^(\s*(\d+l\+?|first[- ]line|second[- ]line|third[- ]line)\s+)+", "")
+    s = F.regexp_replace(s, COMBINATION_TAIL, "")
+    s = F.regexp_replace(s, POPULATION_TAIL, "")
+    s = F.regexp_replace(s, LINE_OF_THERAPY, "")
     return F.regexp_replace(s, "^[ ,;]+|[ ,;]+$", "")
 
 

@@ -4,13 +4,12 @@ Captures of a group are replayed in order. A capture with fewer assets than
 DROP of the median of the last accepted four is set aside. Over the accepted
 ones, what an asset did follows from its own rows and their places in the
 sequence: a gap of CONFIRM_N places or more is an exit and a return, a shorter
-one is nothing. ``change_feed`` says so with windows over (group, asset);
-``change_feed_fold`` replays a group in one pandas call and is its check.
+one is nothing. So the feed is a window over (group, asset), whatever the number
+of assets of a group.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,14 +90,17 @@ def change_feed(observations: DataFrame, confirm_n: int = CONFIRM_N) -> DataFram
 
     One row per capture and asset is expected. Null partners count as none.
     """
-    captures = cut(guarded_captures(observations).where("accepted"))  # a row per capture, used three times
-    slots = captures.select("group", "capture_id", "place", "period")
+    captures = cut(guarded_captures(observations.select("group", "capture_id", "captured_at", "period", "asset_id")).where("accepted"))  # a row per capture, used three times
+    order = Window.partitionBy("group").orderBy("place")
+    slots = captures.select(
+        "group", "capture_id", "place", "period", F.max("place").over(Window.partitionBy("group")).alias("last_place"),
+        F.lead("captured_at").over(order).alias("next_at"), F.lead("period").over(order).alias("next_period"),
+    )
     rows = observations.select("group", "capture_id", "captured_at", "asset_id", "name", "phase_code", F.array_sort(F.coalesce("partners", F.array().cast("array<string>"))).alias("partners"))
     seen = rows.join(slots, ["group", "capture_id"])
     w = Window.partitionBy("group", "asset_id").orderBy("place")
     obs = F.struct("place", "captured_at", "phase_code", "partners")
     seen = seen.withColumn("p", F.lag(obs).over(w)).withColumn("next", F.lead("place").over(w))
-    ends = captures.groupBy("group").agg(F.max("place").alias("last_place"))
     p, t = F.col("p"), lambda: F.lit(None).cast("timestamp_ntz")
     s = lambda: F.lit(None).cast("string")
 
@@ -124,76 +126,14 @@ def change_feed(observations: DataFrame, confirm_n: int = CONFIRM_N) -> DataFram
         partners("partner_removed", F.col("partners"), p["partners"]),
     )
     cols = ["group", "asset_id", F.col("name").alias("asset")]
-    changes = seen.select(*cols, "captured_at", "period", F.explode(inside).alias("e")).select("group", "asset_id", "asset", "e.*")
-    # A row followed by absence: the capture after it names and dates the exit.
-    absent = seen.join(ends, "group").withColumn("away", F.coalesce("next", F.col("last_place") + 1) - F.col("place") - 1)
-    absent = absent.where((F.col("away") >= confirm_n) | (F.col("next").isNull() & (F.col("away") > 0)))
-    first = captures.select("group", F.col("place").alias("_place"), F.col("captured_at").alias("_at"), F.col("period").alias("_period"))
-    left = absent.withColumn("_place", F.col("place") + 1).join(first, ["group", "_place"])
-    exits = left.select(
-        *cols,
-        event(
-            "asset_left_pipeline", period=F.col("_period"), eff_min=F.col("captured_at"), eff_max=F.col("_at"),
-            status=F.when(F.col("away") >= confirm_n, "confirmed").otherwise("provisional"),
-            last_phase=phase_label(F.col("phase_code")), exit_class=exit_class(F.col("phase_code")),
-        ).alias("e"),
-    ).select("group", "asset_id", "asset", "e.*")
+    # A row followed by absence: the capture after it, joined as one small row per capture, names and dates the exit.
+    away = F.coalesce("next", F.col("last_place") + 1) - F.col("place") - 1
+    gone = (away >= confirm_n) | (F.col("next").isNull() & (away > 0))
+    left = event(
+        "asset_left_pipeline", period=F.col("next_period"), eff_min=F.col("captured_at"), eff_max=F.col("next_at"),
+        status=F.when(away >= confirm_n, "confirmed").otherwise("provisional"),
+        last_phase=phase_label(F.col("phase_code")), exit_class=exit_class(F.col("phase_code")),
+    )
+    told = F.concat(inside, F.array_compact(F.array(F.when(gone, left))))
     names = [part.split()[0] for part in SCHEMA.split(", ")]
-    return changes.unionByName(exits).select(*names)
-
-
-def _replay(group: pd.DataFrame, confirm_n: int) -> pd.DataFrame:
-    events: list[dict] = []
-    state: dict[str, dict] = {}
-    accepted: list[int] = []
-
-    def tell(kind: str, asset: str, name: str, period: str, low: object, high: object, **more: object) -> None:
-        events.append({"group": group["group"].iloc[0], "type": kind, "asset_id": asset, "asset": name, "period": period, "eff_min": low, "eff_max": high, "status": "confirmed", **more})
-
-    def ended(code: str | None) -> dict:
-        kind = "likely_approved_graduated" if code in ("filed", "approved") else "late_stage_exit_ambiguous" if code == "phase_3" else "likely_discontinued_early"
-        return {"last_phase": PHASE_LABELS.get(code, code), "exit_class": kind}
-
-    for (at, _), capture in group.groupby(["captured_at", "capture_id"], sort=True):
-        current = {r.asset_id: (r.name_, r.phase_code if isinstance(r.phase_code, str) else None, set(r.partners if r.partners is not None else [])) for r in capture.rename(columns={"name": "name_"}).itertuples()}
-        period = capture["period"].dropna().max() if capture["period"].notna().any() else None
-        if accepted and len(current) < DROP * pd.Series(accepted[-TRAIL:]).median():
-            continue
-        accepted.append(len(current))
-        for asset, (name, phase, partners) in current.items():
-            old = state.get(asset)
-            if old is None:
-                if len(accepted) > 1:
-                    tell("asset_added", asset, name, period, None, at, to_phase=PHASE_LABELS.get(phase, phase))
-            elif old["gone"]:
-                tell("asset_reappeared", asset, name, period, old["seen"], at)
-            else:
-                if phase is not None and phase != old["phase"]:
-                    a, b = PHASE_ORDER.get(old["phase"], 0), PHASE_ORDER.get(phase, 0)
-                    tell("asset_phase_changed", asset, name, period, old["seen"], at, from_phase=PHASE_LABELS.get(old["phase"], old["phase"]), to_phase=PHASE_LABELS.get(phase, phase), direction="advance" if b > a else "regress" if b < a else "lateral")
-                for partner in partners - old["partners"]:
-                    tell("partner_added", asset, name, period, None, at, partner=partner)
-                for partner in old["partners"] - partners:
-                    tell("partner_removed", asset, name, period, None, at, partner=partner)
-            state[asset] = {"name": name, "phase": phase, "partners": partners, "seen": at, "gone": False, "away": 0}
-        for asset, old in state.items():
-            if asset in current or old["gone"]:
-                continue
-            old["away"] += 1
-            if old["away"] == 1:
-                old["first"] = (period, at)
-            if old["away"] >= confirm_n:
-                tell("asset_left_pipeline", asset, old["name"], old["first"][0], old["seen"], old["first"][1], **ended(old["phase"]))
-                old["gone"] = True
-    for asset, old in state.items():
-        if not old["gone"] and old["away"]:
-            tell("asset_left_pipeline", asset, old["name"], old["first"][0], old["seen"], old["first"][1], **ended(old["phase"]))
-            events[-1]["status"] = "provisional"
-    out = pd.DataFrame(events, columns=[part.split()[0] for part in SCHEMA.split(", ")]).astype(object)
-    out = out.where(out.notna(), None)
-    return out.assign(eff_min=pd.to_datetime(out["eff_min"]), eff_max=pd.to_datetime(out["eff_max"]))
-
-
-def change_feed_fold(observations: DataFrame, confirm_n: int = CONFIRM_N) -> DataFrame:
-    """The same events by a sequential replay of each group in one task; for checks and small groups."""
-    return observations.groupBy("group").applyInPandas(lambda g: _replay(g, confirm_n), SCHEMA)
+    return seen.select(*cols, F.explode(told).alias("e")).select("group", "asset_id", "asset", "e.*").select(*names)

@@ -289,18 +289,24 @@ def distinct_contents(s: SparkSession, d: str) -> DataFrame:
     return hashed.groupBy("hash").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies"), F.countDistinct("source").alias("sources"))
 
 
-@query(r"""WITH h AS (SELECT DISTINCT source_id, capture_id, captured_at, sha256(string_agg(DISTINCT asset_id || ':' || coalesce(lower(trim(phase_code)), ''), ';' ORDER BY asset_id || ':' || coalesce(lower(trim(phase_code)), ''))) AS hash
+@query(r"""WITH h AS (SELECT source_id, capture_id, captured_at, list_sort(list(DISTINCT asset_id || ':' || coalesce(lower(trim(phase_code)), ''))) AS content
  FROM capture_asset WHERE asset_id IS NOT NULL GROUP BY 1, 2, 3)
-SELECT source_id, capture_id, hash, lag(hash) OVER w IS DISTINCT FROM hash AS changed FROM h WINDOW w AS (PARTITION BY source_id ORDER BY captured_at, capture_id)""")
+SELECT source_id, capture_id, len(content) AS lines, lag(content) OVER w IS DISTINCT FROM content AS changed FROM h WINDOW w AS (PARTITION BY source_id ORDER BY captured_at, capture_id)""")
 def captures_with_hash_skip(s: SparkSession, d: str) -> DataFrame:
-    """Whether a capture's content differs from that of the capture before of its source."""
+    """Whether a capture's content differs from that of the capture before of its source.
+
+    The digest of a capture is the exclusive-or of its distinct lines' two
+    hashes with their number: partial sums combine before the shuffle and no
+    capture is gathered in one place.
+    """
     from sedimenta.operators.ordered import neighbour, with_blocks
 
     line = F.concat("asset_id", F.lit(":"), F.coalesce(F.lower(F.trim("phase_code")), F.lit("")))
-    rows = table(s, d, "capture_asset").where(F.col("asset_id").isNotNull()).select("source_id", "capture_id", "captured_at", line.alias("line"))
-    hashed = rows.groupBy("source_id", "capture_id", "captured_at").agg(F.sha2(F.array_join(F.array_sort(F.collect_set("line")), ";"), 256).alias("hash"))
-    seen = neighbour(with_blocks(hashed, ["source_id"], "captured_at"), ["source_id"], ["captured_at", "capture_id"], F.col("hash"), "before")
-    return seen.select("source_id", "capture_id", "hash", (~F.col("hash").eqNullSafe(F.col("before"))).alias("changed"))
+    capture = ["source_id", "capture_id", "captured_at"]
+    lines = table(s, d, "capture_asset").where(F.col("asset_id").isNotNull()).select(*capture, F.xxhash64(line).alias("d1"), F.xxhash64(F.lit("b"), line).alias("d2")).distinct()
+    digests = lines.groupBy(*capture).agg(F.struct(F.bit_xor("d1").alias("d1"), F.bit_xor("d2").alias("d2"), F.count(F.lit(1)).alias("n")).alias("digest"))
+    seen = neighbour(with_blocks(digests, ["source_id"], "captured_at"), ["source_id"], ["captured_at", "capture_id"], F.col("digest"), "before")
+    return seen.select("source_id", "capture_id", F.col("digest.n").alias("lines"), (~F.col("digest").eqNullSafe(F.col("before"))).alias("changed"))
 
 
 _PHASE_WORDS = r"\b(pre[- ]?clinical|phase\s*[1-4]|phase\s*(?:i{1,3}|iv)\b|ph\s*[1-3]\b|registration|filed|approved|marketed|commercial|discovery)\b"
@@ -467,11 +473,6 @@ def change_feed(s: SparkSession, d: str) -> DataFrame:
     return changes.change_feed(_observations(s, d))
 
 
-@query(_FEED + 'SELECT grp AS "group", * EXCLUDE (grp) FROM ev')
-def change_feed_replayed(s: SparkSession, d: str) -> DataFrame:
-    return changes.change_feed_fold(_observations(s, d))
-
-
 @query(_FEED + "SELECT type, status, coalesce(direction, exit_class, '') AS kind, count(*) AS events, count(DISTINCT asset_id) AS assets FROM ev GROUP BY 1, 2, 3")
 def change_summary(s: SparkSession, d: str) -> DataFrame:
     feed = changes.change_feed(_observations(s, d))
