@@ -2,11 +2,12 @@
 
 Three rules over readings in order of time:
 
-* exact distance: readings away from the level before and after by MIN_SCATTERS
-  times the source's scatter and by MIN_STEP, the level returning within MAX_RUN
-  readings, are spikes. The peaks-over-threshold cutoff of :func:`source_cutoffs`
-  (a generalised Pareto tail of the residuals against the local level, without a
-  seasonal component) decides nothing: asked first, it loses cases.
+* peaks over threshold: the tail of a source's seasonal residuals (against the
+  local level and the usual residual of the calendar month) is a generalised
+  Pareto law above a threshold; its quantile at RISK is the source's cutoff.
+  Readings beyond it are candidates, and of these the ones stand that lie away
+  from the level before and after by MIN_SCATTERS times the source's scatter and
+  by MIN_STEP, the level returning within MAX_RUN readings.
 * stuck duration: all but the first of more than MAX_STUCK identical readings,
   in a source whose readings ordinarily vary.
 * plausibility: values that such a measurement can't have.
@@ -27,7 +28,16 @@ from pyspark.sql import functions as F
 from sedimenta.operators.ordered import ROWS_PER_BLOCK, with_blocks
 from sedimenta.session import cut
 
-RISK = 1e-4
+#: Chance of an ordinary reading to lie beyond its source's cutoff.
+RISK = 1e-2
+#: The threshold of the tail and the quantiles it is fitted by: half and three quarters of what exceeds it.
+TAIL = (0.6, 0.8, 0.9)
+#: A source's own tail counts as much as that of all sources when so many readings exceed its threshold.
+POOLED_EXCEEDANCES = 200
+#: Readings of a returning run this many scatters away are what is looked for and don't shape the tail.
+TAIL_SCATTERS = 4.0
+#: A month's usual residual counts half at so many readings; it has to be seen in two years.
+SEASON_READINGS = 8
 MIN_SCATTERS = 6.0
 MIN_STEP = 5.0
 MAX_RUN = 4
@@ -52,7 +62,7 @@ LOOSE_VALUES = 0.6
 INT_MAX = 2**31 - 1
 
 _FEATURES = (
-    "source_id string, stat_id long, a_res double, a_dev double, a_side double, a_bad boolean, a_stuck boolean, "
+    "source_id string, stat_id long, season int, year int, a_res double, a_dev double, a_side double, a_bad boolean, a_stuck boolean, "
     "pairs int, changes int, freezes int, loose double, t_res double, t_dev double, t_side double, t_bad boolean"
 )
 
@@ -154,6 +164,8 @@ def _one_series(rows: pd.DataFrame) -> pd.DataFrame:
         {
             "source_id": rows["source_id"],
             "stat_id": rows["stat_id"],
+            "season": rows["season"],
+            "year": rows["year"],
             "a_res": _spread(residual(a[a_ok]), a_ok, np.nan),
             "a_dev": _spread(a_dev, a_ok, 0.0),
             "a_side": _spread(sides(a_dev), a_ok, 0.0),
@@ -209,6 +221,8 @@ def reading_features(stats: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) ->
         )
         .distinct()
         .withColumn("t_nan", F.coalesce(F.isnan("trail_median"), F.lit(False)))
+        .withColumn("season", F.coalesce(F.month("captured_at"), F.lit(0)))
+        .withColumn("year", F.coalesce(F.year("captured_at"), F.lit(0)))
     )
     order = [F.col("captured_at").asc_nulls_first(), F.col("stat_id")]
     rows = with_blocks(rows, ["source_id"], "captured_at", rows_per_block, hot="_hot")
@@ -226,7 +240,7 @@ def reading_features(stats: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) ->
             F.when(F.col("_down") <= HALO, to(F.col("_blk") + 1, False)),
         )
     )
-    cols = ["source_id", "stat_id", "captured_at", "assets", "trail_median", "t_nan"]
+    cols = ["source_id", "stat_id", "captured_at", "assets", "trail_median", "t_nan", "season", "year"]
     placed = (
         edged.select(*cols, F.explode(places).alias("p"))
         .select(*cols, F.col("p.b").alias("_blk"), F.col("p.c").alias("core"))
@@ -239,47 +253,88 @@ def reading_features(stats: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) ->
     )
 
 
-def source_cutoffs(features: DataFrame) -> DataFrame:
-    """Per source: whether it varies, and scatter and peaks-over-threshold cutoff of both fields.
+def with_seasons(features: DataFrame) -> DataFrame:
+    """``features`` with a_season and t_season, the usual residual of the reading's source in its calendar month.
+
+    A median, shrunk where the month has few readings and 0 where it was seen in
+    one year only, so that a lone spike isn't taken for a season.
+    """
+
+    def usual(f: str) -> Column:
+        n = F.count(f"{f}_res")
+        return F.when(F.countDistinct("year") > 1, F.coalesce(F.percentile_approx(f"{f}_res", 0.5, 1000), F.lit(0.0)) * n / (n + SEASON_READINGS)).otherwise(0.0).alias(f"{f}_season")
+
+    real = features.select("source_id", "season", "year", *[F.nanvl(f"{f}_res", F.lit(None).cast("double")).alias(f"{f}_res") for f in "at"])
+    months = real.groupBy("source_id", "season").agg(usual("a"), usual("t"))
+    return features.join(months, ["source_id", "season"])
 
-    The tail is fitted to three upper quantiles and its quantile at RISK is the
-    cutoff, for comparison only; :func:`implausible_readings` doesn't use it.
+
+def _cutoff(u: Column, mid: Column, top: Column, risk: float) -> Column:
+    """The quantile at ``risk`` of the generalised Pareto tail above ``u`` through two of its quantiles.
+
+    The lightest tail is the exponential one: with a bounded tail no reading
+    would be too far out for a small risk.
     """
-    quantiles = [0.5, 0.6, 0.8, 0.9]
+    ratio = (top - mid) / (mid - u)
+    shape = F.when((mid > u) & (top > mid), F.greatest(F.lit(0.0), F.least(F.lit(0.5), F.log2(ratio)))).otherwise(0.0)
+    flat = F.abs(shape) < 1e-3
+    beyond = risk / (1 - TAIL[0])
+    scale = F.when(flat, (mid - u) / np.log(2)).otherwise(shape * (mid - u) / (F.pow(F.lit(2.0), shape) - 1))
+    reach = F.when(flat, F.lit(float(-np.log(beyond)))).otherwise((F.pow(F.lit(beyond), -shape) - 1) / shape)
+    return u + scale * reach
 
-    def fit(q: Column) -> Column:
-        u, mid, top = q[1], q[2], q[3]
-        ratio = (top - mid) / (mid - u)
-        shape = F.when((mid > u) & (top > mid), F.greatest(F.lit(-0.5), F.least(F.lit(0.5), F.log2(ratio)))).otherwise(0.0)
-        flat = F.abs(shape) < 1e-3
-        scale = F.when(flat, (mid - u) / np.log(2)).otherwise(shape * (mid - u) / (F.pow(F.lit(2.0), shape) - 1))
-        reach = F.when(flat, F.lit(float(np.log(0.4 / RISK)))).otherwise((F.pow(F.lit(RISK / 0.4), -shape) - 1) / shape)
-        return u + scale * reach
 
+def source_cutoffs(features: DataFrame, risk: float = RISK) -> DataFrame:
+    """Per source: whether it varies, and scatter and peaks-over-threshold cutoff of both fields.
+
+    A year of weekly readings says little about a tail. Residuals are therefore
+    measured in scatters of their source, one tail is fitted to those of all
+    sources, and a source's own tail counts beside it the more the more readings
+    exceed its threshold (half at POOLED_EXCEEDANCES).
+    """
+    real = lambda c: F.nanvl(c, F.lit(None).cast("double"))
     per = features.groupBy("source_id").agg(
-        F.percentile_approx(F.abs("a_res"), quantiles, 1000).alias("aq"),
-        F.percentile_approx(F.abs("t_res"), quantiles, 1000).alias("tq"),
+        F.percentile_approx(F.abs(real("a_res")), 0.5, 1000).alias("am"),
+        F.percentile_approx(F.abs(real("t_res")), 0.5, 1000).alias("tm"),
         F.sum("pairs").alias("pairs"),
         F.sum("changes").alias("changes"),
         F.sum("freezes").alias("freezes"),
         F.count_if("a_stuck").alias("stuck"),
-        F.approx_count_distinct(F.nanvl("loose", F.lit(None).cast("double")), 0.02).alias("values"),
+        F.approx_count_distinct(real("loose"), 0.02).alias("values"),
     )
     loose = F.col("pairs") - F.col("stuck")
     enough = (loose >= LOOSE_PER_FREEZE * F.col("freezes")) | (F.col("values") >= LOOSE_VALUES * loose)
     varies = (F.col("changes") >= VARYING * F.col("pairs")) | ((loose >= MIN_LOOSE * F.greatest(F.lit(1), F.col("freezes"))) & (F.col("changes") >= LOOSE * loose) & enough)
-    scatter = lambda q: F.coalesce(1.4826 / RESIDUAL_SCATTER * q[0], F.lit(0.0))
-    return per.select(
+    scatter = lambda m: F.coalesce(1.4826 / RESIDUAL_SCATTER * F.col(m), F.lit(0.0))
+    judged = per.select("source_id", varies.alias("varies"), scatter("am").alias("a_scatter"), scatter("tm").alias("t_own"))
+    scaled = features.join(judged, "source_id")
+
+    def size(f: str, unit: str) -> Column:
+        """A seasonal residual in scatters; null where the source has none or the reading doesn't count."""
+        counts = (F.col(unit) > 0) & ~F.col(f"{f}_bad") & (F.col(f"{f}_dev") < TAIL_SCATTERS * F.col(unit))
+        return F.when(counts, F.abs(real(F.col(f"{f}_res") - F.col(f"{f}_season"))) / F.col(unit))
+
+    sizes = scaled.select("source_id", size("a", "a_scatter").alias("a"), size("t", "t_own").alias("t"))
+    tail = lambda f: F.percentile_approx(f, list(TAIL), 10_000)
+    pooled = sizes.agg(tail("a"), tail("t")).first()
+    own = sizes.groupBy("source_id").agg(*[x for f in "at" for x in (tail(f).alias(f"{f}q"), F.count(f).alias(f"{f}n"))])
+
+    def cutoff(f: str, unit: str, row: int) -> Column:
+        weight = F.col(f"{f}n") * (1 - TAIL[0]) / (F.col(f"{f}n") * (1 - TAIL[0]) + POOLED_EXCEEDANCES)
+        mixed = [weight * F.col(f"{f}q")[i] + (1 - weight) * F.lit(q) for i, q in enumerate(pooled[row] or [0.0] * len(TAIL))]
+        return F.coalesce(F.col(unit) * _cutoff(*mixed, risk), F.lit(0.0))
+
+    return judged.join(own, "source_id").select(
         F.col("source_id").alias("_source"),
-        varies.alias("varies"),
-        scatter(F.col("aq")).alias("a_scatter"),
-        F.greatest(scatter(F.col("aq")), scatter(F.col("tq"))).alias("t_scatter"),
-        F.coalesce(fit(F.col("aq")), F.lit(0.0)).alias("a_cutoff"),
-        F.coalesce(fit(F.col("tq")), F.lit(0.0)).alias("t_cutoff"),
+        "varies",
+        "a_scatter",
+        F.greatest("a_scatter", "t_own").alias("t_scatter"),
+        cutoff("a", "a_scatter", 0).alias("a_cutoff"),
+        cutoff("t", "t_own", 1).alias("t_cutoff"),
     )
 
 
-def implausible_readings(stats: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def implausible_readings(stats: DataFrame, rows_per_block: int = ROWS_PER_BLOCK, risk: float = RISK) -> DataFrame:
     """stat_id, field ('assets' or 'trail_median') of the readings that can't be right.
 
     ``stats`` has stat_id, source_id, captured_at, assets and trail_median;
@@ -288,19 +343,20 @@ def implausible_readings(stats: DataFrame, rows_per_block: int = ROWS_PER_BLOCK)
     32-bit sentinel, not a number, a median that isn't a multiple of a half)
     are flagged and left out of the levels. Rows without stat_id or source_id
     are left out; rows without captured_at come first; equal times follow
-    stat_id. An empty table gives no rows.
+    stat_id. An empty table gives no rows. A smaller ``risk`` gives fewer spikes.
     """
-    features = cut(reading_features(stats, rows_per_block))
+    features = with_seasons(cut(reading_features(stats, rows_per_block)))
     wanted = features.where(
         F.col("a_bad") | F.col("t_bad") | F.col("a_stuck") | (F.col("a_dev") >= MIN_STEP) | (F.col("t_dev") >= MIN_STEP)
     )
-    judged = wanted.join(source_cutoffs(features), F.col("source_id") == F.col("_source"))
+    judged = wanted.join(source_cutoffs(features, risk), F.col("source_id") == F.col("_source"))
 
     def spike(f: str) -> Column:
         exact = F.greatest(F.lit(MIN_STEP), MIN_SCATTERS * F.col(f"{f}_scatter"))
         dev = F.col(f"{f}_dev")
         between = (F.col(f"{f}_side") >= exact) & (dev >= F.greatest(F.lit(MIN_STEP), BETWEEN * exact))
-        return (dev >= exact) | between
+        beyond = dev - F.abs(f"{f}_season") >= F.col(f"{f}_cutoff")
+        return beyond & ((dev >= exact) | between)
 
     fields = F.array_compact(
         F.array(

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.operators.asof import event_versions
-from sedimenta.operators.history import build_history, latest_known, merge_batch, program_history
+from sedimenta.operators.history import merged_history, program_history, program_states
 from sedimenta.operators.snapshot_diff import snapshot_changes
 from sedimenta.operators.spikes import implausible_readings
-from sedimenta.session import cut, table
+from sedimenta.session import table
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -27,18 +29,10 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_merged(spark: SparkSession, d: str) -> DataFrame:
-    """The history of two deliveries, the second merged into that of the first."""
-    keys, attributes = ["program_id", "indication_id", "company_id"], ["phase", "status"]
-    clean = lambda c: F.lower(F.trim(c)).alias(c)
-    rows = (
-        table(spark, d, "program_observation")
-        .where(F.col("phase").isNotNull() & F.col("observed_at").isNotNull())
-        .select(*keys, clean("phase"), clean("status"), "observed_at", "recorded_at")
-    )
-    rows = latest_known(rows, keys, "observed_at", "recorded_at", attributes)
-    early = F.col("observed_at") < F.lit("2023-01-01").cast("timestamp_ntz")
-    first = cut(build_history(rows.where(early), keys, attributes, "observed_at"))
-    return merge_batch(first, rows.where(~early), keys, attributes, "observed_at")
+    """The history of four deliveries of about a quarter of the records each, late rows and corrections among them."""
+    states = program_states(table(spark, d, "program_observation"))
+    quarters = states.agg(F.percentile_approx(F.unix_micros(F.col("recorded_at").cast("timestamp")), [0.25, 0.5, 0.75])).first()[0]
+    return merged_history(states, [datetime(1970, 1, 1) + timedelta(microseconds=q) for q in quarters or []])
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -53,16 +53,35 @@ def test_program_history_rules(spark, day):
 
 def test_merge_equals_rebuild_and_reads_as_of(spark, day):
     rnd = random.Random(8)
-    rows = [(f"k{rnd.randrange(6)}", rnd.choice("ab"), day(n)) for n in range(200)]
-    df = spark.createDataFrame(rows, "k string, a string, at timestamp_ntz")
+    rows = [(rnd.choice(["k0", "k1", "k2", "k3", None]), rnd.choice("aab"), day(n)) for n in range(200)] + [("k9", "a", day(1)), ("k9", "b", day(150))]
+    df = spark.createDataFrame(rows, "k string, a string, at timestamp_ntz").withColumn("extra", F.lit("x"))
     cut_at = F.lit(day(120)).cast("timestamp_ntz")
-    first = build_history(df.where(F.col("at") < cut_at), ["k"], ["a"], "at")
-    merged = merge_batch(first, df.where(F.col("at") >= cut_at), ["k"], ["a"], "at")
+    early, later = df.where(F.col("at") < cut_at), df.where(F.col("at") >= cut_at)
     whole = build_history(df, ["k"], ["a"], "at")
-    assert sorted(map(tuple, merged.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    for block in (10, 10**6):
+        merged = merge_batch(build_history(early, ["k"], ["a"], "at"), later, early, ["k"], ["a"], "at", rows_per_block=block)
+        assert sorted(map(tuple, merged.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
     assert as_of(whole, F.lit(day(150)).cast("timestamp_ntz")).groupBy("k").count().where("count > 1").count() == 0
 
 
+def test_late_rows_and_corrections_split_versions(spark, day):
+    schema = "k string, a string, at timestamp_ntz"
+    earlier = spark.createDataFrame([("p", "a", day(1)), ("p", "a", day(3)), ("p", "a", day(5)), ("q", "a", day(1)), ("r", "a", day(1)), ("r", "b", day(4))], schema)
+    batch = spark.createDataFrame([("p", "b", day(2)), ("p", "c", day(5)), ("q", "a", day(2)), ("q", "b", day(7)), ("new", "z", day(9)), ("new", "z", None)], schema)
+    got = merge_batch(build_history(earlier, ["k"], ["a"], "at"), batch, earlier, ["k"], ["a"], "at")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [
+            ("p", "a", day(1), day(2)), ("p", "b", day(2), day(3)), ("p", "a", day(3), day(5)), ("p", "c", day(5), None),
+            ("q", "a", day(1), day(7)), ("q", "b", day(7), None),
+            ("r", "a", day(1), day(4)), ("r", "b", day(4), None),
+            ("new", "z", day(9), None),
+        ],
+        key=str,
+    )
+    none = merge_batch(build_history(earlier, ["k"], ["a"], "at"), batch.limit(0), earlier, ["k"], ["a"], "at")
+    assert none.count() == 4 and merge_batch(none.limit(0), batch.limit(0), earlier.limit(0), ["k"], ["a"], "at").count() == 0
+
+
 def test_latest_known_prefers_late_records(spark, day):
     df = spark.createDataFrame([("k", day(1), None, "x"), ("k", day(1), day(2), "a"), ("k", day(1), day(2), "b")], "k string, at timestamp_ntz, known timestamp_ntz, v string")
     assert [r.v for r in latest_known(df, ["k"], "at", "known", ["v"]).collect()] == ["b"]

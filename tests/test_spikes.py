@@ -1,6 +1,7 @@
 import numpy as np
+from pyspark.sql import functions as F
 
-from sedimenta.operators.spikes import _medians, deviation, implausible_readings, residual, stuck
+from sedimenta.operators.spikes import _medians, deviation, implausible_readings, residual, stuck, with_seasons
 
 SCHEMA = "stat_id long, source_id string, captured_at timestamp_ntz, assets int, trail_median double"
 
@@ -64,6 +65,22 @@ def test_blocks_of_a_hot_source_change_nothing(spark, day):
     assert flags(spark, day, s, rows_per_block=120) == whole
 
 
+def test_the_fitted_tail_decides(spark, day):
+    s = noisy(60)
+    s[10], s[30], s[45] = 10, 400, 125
+    at = lambda risk: {i for i, _ in flags(spark, day, s, risk=risk)}
+    assert at(1e-2) == {10, 30, 45} and at(1e-9) == {10, 30} and at(1e-99) == set()
+
+
+def test_a_season_is_no_spike_of_its_own(spark, day):
+    rows = [("s", i, i % 12 + 1, 2020 + i // 12, 9.0 if i % 12 == 6 else (-1.0) ** i) for i in range(60)] + [("s", 99, 7, 2025, None)]
+    df = spark.createDataFrame(rows, "source_id string, stat_id long, season int, year int, a_res double").withColumn("t_res", F.lit(None).cast("double"))
+    got = {r.stat_id: r.a_season for r in with_seasons(df).collect()}
+    assert got[6] == got[99] == 9.0 * 5 / 13 and abs(got[7]) < 1 and len(got) == 61
+    one = with_seasons(df.where("year = 2020")).collect()
+    assert {r.a_season for r in one} == {0.0}
+
+
 def test_a_reading_between_spikes_needs_no_tail_cutoff(spark, day):
     s = noisy(60)
     for i in (5, 12, 40, 47, 54):  # a heavy tail: its cutoff lies far above the exact distance
