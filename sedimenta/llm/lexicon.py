@@ -1,85 +1,82 @@
-"""Phrases people use for the entries of the phase, modality and indication lists.
+"""Wordings of phases, modalities and indications that no rule leads back to a label.
 
-Keys are labels of the reference list; a phrase counts only if the list has the
-label. Spelling, order, abbreviation and numerals are rules of the matcher, so
-each wording appears once, in its plain form.
+A table for callers of the matcher, which takes it as a parameter and works
+without it: translations, medical synonyms and abbreviations of the field. Keys
+are labels of the reference list; a wording counts only if the list has the
+label. Spelling, order, cut-off words, numerals and initials are rules of the
+matcher, so each wording appears once, in its plain form.
 """
 
 from __future__ import annotations
 
 PHRASES: dict[str, dict[str, str]] = {
     "phase": {
-        "Preclinical": "pre clinical; preclin; pre clinique; praklinik; praklinisch; animal studies; in vivo tox; tox package; lead optimization; discovery; ind enabling; non clinical; research stage",
-        "Phase 1": "first in human; fih; dose escalation; first in man",
+        "Preclinical": "preclin; pre clinique; praklinik; praklinisch; animal studies; in vivo tox; tox package; lead optimization; discovery; non clinical; research stage",
+        "Phase 1": "fih; dose escalation; first in man",
         "Phase 2": "proof of concept; poc",
-        "Phase 3": "pivotal; pivotal trial; pivotal study; registrational; registrational study; registration trial; confirmatory trial",
-        "Filed": "under review; submitted; filing accepted; nda sub accepted; nda submission accepted; maa submitted; nda submitted; bla submitted; nda filed; bla filed; dossier submitted; in registration; zulassung beantragt; regulatory review; submission; eingereicht; pre registration; filing",
-        "Approved": "marketed; on the market; launched; authorized; commercial stage; commercial; zugelassen; marketed product; approval granted; autorise; aprobado; im markt",
-        "Discontinued": "terminated; programme terminated; development halted; halted; stopped; no longer pursued; eingestellt; discontd; suspended; abandoned; withdrawn; dropped; arrete; ceased",
+        "Phase 3": "registrational; registration trial; confirmatory trial",
+        "Filed": "nda sub accepted; in registration; zulassung beantragt; regulatory review; submission; eingereicht; pre registration; filing",
+        "Approved": "on the market; launched; authorized; commercial; zugelassen; approval granted; autorise; aprobado; im markt",
+        "Discontinued": "halted; stopped; no longer pursued; eingestellt; discontd; suspended; abandoned; withdrawn; dropped; arrete; ceased",
     },
     "modality": {
-        "Small molecule": "nce; sm; small mol; petite molecule; niedermolekular; chemical entity; new chemical entity; kinase inhibitor; small molecules; molecula pequena",
-        "Monoclonal antibody": "mab; monoclonal; monoclonal ab; human mab; igg1 antibody; igg4 antibody; igg1; antibody monoclonal; antikorper monoklonal; monoklonaler antikorper; naked antibody; anticorps monoclonal",
-        "Bispecific antibody": "bsab; bispecific; bi specific; bispecific ab; t cell engager; dual targeting antibody; dual targeting; bite",
-        "Antibody-drug conjugate": "adc; drug conjugated antibody; conjugate adc; immunoconjugate; antibody conjugate",
-        "Cell therapy": "car t; car t cells; cellular therapy; engineered t cells; nk cells; autologous cell tx; allogeneic cell; cell tx; zelltherapie; therapie cellulaire; til; tcr t",
-        "Gene therapy": "aav; aav vector; gene tx; gene replacement; gene editing; lentiviral; therapie genique; gentherapie; crispr; viral vector",
-        "RNA / oligonucleotide": "sirna; rnai; aso; antisense; antisense oligo; oligo; oligonucleotide; mrna non vaccine; mrna; rna therapeutic; rna",
-        "Vaccine": "vacuna; impfstoff; immunization; mrna vaccine; conjugate vaccine; prophylactic vaccine; vaccin",
-        "Protein / peptide": "protein; peptide; fc fusion; fc fusion protein; fusion protein; enzyme replacement; recombinant protein; peptide agonist; cyclic peptide; hormone; cytokine; proteine",
-        "Radioligand": "rlt; radio ligand; radiopharmaceutical; radioconjugate; alpha emitter; lu labeled ligand; labeled ligand; radiotherapeutic; radionuclide",
+        "Small molecule": "sm; small mol; petite molecule; niedermolekular; chemical entity; kinase inhibitor; molecula pequena",
+        "Monoclonal antibody": "monoclonal; igg4 antibody; igg1; antikorper monoklonal; monoklonaler antikorper; naked antibody",
+        "Bispecific antibody": "bi specific; t cell engager; dual targeting; bite",
+        "Antibody-drug conjugate": "immunoconjugate; antibody conjugate",
+        "Cell therapy": "cellular therapy; engineered t cells; nk cells; allogeneic cell; cell tx; zelltherapie; therapie cellulaire; til; tcr t",
+        "Gene therapy": "gene tx; gene replacement; gene editing; lentiviral; therapie genique; gentherapie; crispr; viral vector",
+        "RNA / oligonucleotide": "rnai; aso; antisense; oligonucleotide; mrna non vaccine; mrna; rna",
+        "Vaccine": "vacuna; impfstoff; immunization",
+        "Protein / peptide": "fc fusion; enzyme replacement; hormone; cytokine",
+        "Radioligand": "radiopharmaceutical; radioconjugate; alpha emitter; labeled ligand; radiotherapeutic; radionuclide",
     },
     "indication": {
-        "Non-small cell lung cancer": "nsclc; non squamous lung cancer",
-        "Small cell lung cancer": "sclc; es sclc",
+        "Non-small cell lung cancer": "non squamous lung cancer",
         "Breast cancer": "tnbc; brustkrebs; mbc",
-        "Prostate cancer": "mcrpc; crpc; castration resistant prostate cancer; prostatakrebs",
-        "Colorectal cancer": "crc; bowel cancer; colon rectal cancer; colon cancer; mcrc",
-        "Hepatocellular carcinoma": "hcc; liver cancer; hepatoma",
-        "Renal cell carcinoma": "rcc; kidney cancer; renal cancer; clear cell rcc",
-        "Multiple myeloma": "mm; ndmm; rrmm; plasma cell myeloma; myeloma",
-        "Acute myeloid leukemia": "aml; acute myelogenous leukemia; acute myeloblastic leukemia",
-        "Chronic lymphocytic leukemia": "cll; chronic lymphatic leukemia",
-        "Diffuse large B-cell lymphoma": "dlbcl; dlbc lymphoma; large b cell lymphoma",
-        "Melanoma": "malignant melanoma; cutaneous melanoma",
-        "Ovarian cancer": "proc; prsoc",
-        "Glioblastoma": "gbm; glioblastoma multiforme; grade 4 glioma; malignant glioma",
-        "Rheumatoid arthritis": "ra; rheumatoid; polyarthritis",
-        "Psoriasis": "plaque psoriasis; psoriasis vulgaris; schuppenflechte",
-        "Psoriatic arthritis": "psa; psoriasis arthritis",
-        "Atopic dermatitis": "ad; atopic eczema; eczema; neurodermitis",
-        "Ulcerative colitis": "uc; colitis ulcerosa",
-        "Crohn's disease": "cd; crohn; crohns; morbus crohn",
-        "Systemic lupus erythematosus": "sle; systemic lupus; lupus erythematosus; lupus",
-        "Multiple sclerosis": "ms; rms; ppms; rrms; spms; sclerosis multiplex",
-        "Alzheimer's disease": "alzheimer; alzheimers; ad dementia; morbus alzheimer",
-        "Parkinson's disease": "pd; parkinson; parkinsons; morbus parkinson",
-        "Migraine": "chronic migraine; migraine attack",
+        "Prostate cancer": "prostatakrebs",
+        "Colorectal cancer": "bowel cancer; colon cancer; mcrc",
+        "Hepatocellular carcinoma": "liver cancer; hepatoma",
+        "Renal cell carcinoma": "kidney cancer; renal cancer",
+        "Multiple myeloma": "ndmm; rrmm; myeloma",
+        "Acute myeloid leukemia": "acute myelogenous leukemia; acute myeloblastic leukemia",
+        "Chronic lymphocytic leukemia": "chronic lymphatic leukemia",
+        "Diffuse large B-cell lymphoma": "large b cell lymphoma",
+        "Ovarian cancer": "proc",
+        "Glioblastoma": "grade 4 glioma; malignant glioma",
+        "Rheumatoid arthritis": "rheumatoid; polyarthritis",
+        "Psoriasis": "schuppenflechte",
+        "Psoriatic arthritis": "psoriasis arthritis",
+        "Atopic dermatitis": "eczema; neurodermitis",
+        "Ulcerative colitis": "colitis ulcerosa",
+        "Crohn's disease": "crohn; crohns",
+        "Systemic lupus erythematosus": "lupus",
+        "Multiple sclerosis": "rms; ppms; rrms; spms; sclerosis multiplex",
+        "Alzheimer's disease": "alzheimer; ad dementia",
+        "Parkinson's disease": "parkinson",
         "Schizophrenia": "schizophrenie",
-        "Major depressive disorder": "mdd; major depression; depression; trd",
+        "Major depressive disorder": "depression; trd",
         "Epilepsy": "epileptic seizures; focal seizures; epilepsie",
-        "Heart failure": "hf; hfpef; hfref; cardiac failure; herzinsuffizienz; chf",
-        "Atrial fibrillation": "af; a fib; afib; vorhofflimmern",
-        "Hypertension": "high blood pressure; arterial hypertension; htn; bluthochdruck",
-        "Pulmonary arterial hypertension": "pah; pulmonary hypertension",
-        "Hypertrophic cardiomyopathy": "hcm; ohcm; nhcm",
-        "Type 1 diabetes": "t1d; t1dm; juvenile diabetes; insulin dependent diabetes",
-        "Type 2 diabetes": "t2d; t2dm; adult onset diabetes",
+        "Heart failure": "hfpef; hfref; cardiac failure; herzinsuffizienz; chf",
+        "Atrial fibrillation": "a fib; afib; vorhofflimmern",
+        "Hypertension": "high blood pressure; htn; bluthochdruck",
+        "Pulmonary arterial hypertension": "pulmonary hypertension",
+        "Hypertrophic cardiomyopathy": "ohcm; nhcm",
+        "Type 1 diabetes": "t1dm; juvenile diabetes; insulin dependent diabetes",
+        "Type 2 diabetes": "t2dm; adult onset diabetes",
         "Obesity": "adiposity; overweight; weight management; weight loss; adipositas",
-        "Steatohepatitis": "mash; nash",
-        "Asthma": "asthma bronchiale; bronchial asthma",
-        "Chronic obstructive pulmonary disease": "copd; obstructive pulmonary disease",
-        "Idiopathic pulmonary fibrosis": "ipf; pulmonary fibrosis",
-        "Cystic fibrosis": "cf; mucoviscidosis",
-        "Sickle cell disease": "scd; sickle cell anemia; sickle cell; drepanocytosis",
-        "Beta-thalassemia": "beta thalassemia; thalassemia; tdt",
+        "Steatohepatitis": "nash",
+        "Chronic obstructive pulmonary disease": "obstructive pulmonary disease",
+        "Idiopathic pulmonary fibrosis": "pulmonary fibrosis",
+        "Cystic fibrosis": "mucoviscidosis",
+        "Sickle cell disease": "sickle cell; drepanocytosis",
+        "Beta-thalassemia": "thalassemia; tdt",
         "Hemophilia A": "factor 8 deficiency; hemophilia 8",
         "Hemophilia B": "factor 9 deficiency",
-        "Influenza": "flu; influenza a b; grippe",
-        "Respiratory syncytial virus infection": "rsv; respiratory syncytial virus",
-        "Hepatitis B": "hbv; chronic hepatitis b",
-        "Hepatitis D": "hdv; hepatitis delta",
-        "Tuberculosis": "tb; mdr tb; tuberkulose",
+        "Influenza": "flu; grippe",
+        "Respiratory syncytial virus infection": "respiratory syncytial virus",
+        "Hepatitis D": "hepatitis delta",
+        "Tuberculosis": "tuberkulose",
     },
 }
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm.components import alias_groups
+from sedimenta.llm.lexicon import PHRASES
 from sedimenta.llm.mixing import drawn, share_report
 from sedimenta.llm.names import name_clusters, variant_pairs
 from sedimenta.llm.packing import packed, room_report
@@ -20,12 +21,12 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    mapping = mapped_verbatims(table(spark, d, "expected_asset"), table(spark, d, "vocab_entry"))
+    mapping = mapped_verbatims(table(spark, d, "expected_asset"), table(spark, d, "vocab_entry"), PHRASES)
     return mapping.select("expected_id", "field", F.col("pos").cast("int").alias("pos"), "code")
 
 
 def p5_misses(spark: SparkSession, d: str) -> DataFrame:
-    return misses(mapped_verbatims(table(spark, d, "expected_asset"), table(spark, d, "vocab_entry")))
+    return misses(mapped_verbatims(table(spark, d, "expected_asset"), table(spark, d, "vocab_entry"), PHRASES))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -44,19 +45,31 @@ def p8_room(spark: SparkSession, d: str) -> DataFrame:
     return room_report(_sizes(spark, d), table(spark, d, "pack_capacity"))
 
 
-def _corpus(spark: SparkSession, d: str) -> DataFrame:
+def _described(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id, source, lang, topic, tokens of all documents, once."""
     documents = table(spark, d, "documents")
     sizes = with_token_counts(documents, "doc_id long, source string, lang string")
     topics = subject_shares(documents, table(spark, d, "subject_label")).where(F.col("place") == 0).select("doc_id", F.col("area").alias("topic"))
-    return drawn(cut(sizes.join(topics, "doc_id", "left")), table(spark, d, "mix_target"))
+    return cut(sizes.join(topics, "doc_id", "left"))
 
 
 def p9_drawn(spark: SparkSession, d: str) -> DataFrame:
-    return _corpus(spark, d)
+    return drawn(_described(spark, d), table(spark, d, "mix_target"))
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    return share_report(cut(_corpus(spark, d)), table(spark, d, "mix_target"))
+    described, targets = _described(spark, d), table(spark, d, "mix_target")
+    return share_report(cut(drawn(described, targets)), described, targets)
+
+
+def p9_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Per target source whether its documents are there and drawn, and whether any is used too often."""
+    described, targets = _described(spark, d), table(spark, d, "mix_target")
+    got = drawn(described, targets).groupBy("source").agg(F.max("copies").alias("most"))
+    have = described.where("tokens > 0").groupBy("source").agg(F.count(F.lit(1)).alias("documents"))
+    return targets.distinct().join(have, "source", "left").join(got, "source", "left").select(
+        "source", F.coalesce("documents", F.lit(0)).alias("documents"), F.col("most").isNotNull().alias("used"), F.coalesce(F.col("most") > F.col("max_repeats"), F.lit(False)).alias("too_often")
+    )
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -69,10 +82,15 @@ def p10_makeup(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p5_found, p5_misses, p7_found, p8_packed, p8_room, p9_drawn, p9_shares, p10_found, p10_makeup)
+    for f in (p1_found, p5_found, p5_misses, p7_found, p8_packed, p8_room, p9_drawn, p9_shares, p9_kept, p10_found, p10_makeup)
 }
 
 SQL = {
+    "p9_kept": """
+WITH h AS (SELECT source, count(*) AS documents FROM documents WHERE text <> '' AND source IS NOT NULL GROUP BY 1)
+SELECT DISTINCT t.source, coalesce(h.documents, 0) AS documents, h.documents IS NOT NULL AND target_share > 0 AS used, false AS too_often
+FROM mix_target t LEFT JOIN h USING (source)
+""",
     "p7_found": """
 WITH RECURSIVE s AS (
   SELECT DISTINCT alias_row_id AS id, x FROM (

@@ -2,9 +2,11 @@
 
 Sentences of labelled documents are transactions of words and word pairs with
 the document's area as class item. Items that say nothing about the area are
-left out first (so that the wording all texts share makes no itemsets), parallel
-frequent-pattern growth mines the itemsets, and those that contain the class
-make rules. Redundant rules (a more general one is as sure) are pruned. A
+left out first (so that the wording all texts share makes no itemsets). Parallel
+frequent-pattern growth mines the itemsets: items are ranked by frequency, each
+item's group gets the more frequent items that stand beside it, and a group
+grows its patterns by itself, to MAX_ITEMS items, counting the documents of each
+class. Redundant rules (a more general one is as sure) are pruned. A
 sentence belongs to the area with the most evidence, the sum of the rules'
 log-odds, whose confidence is calibrated as a lower bound over documents; a
 document has the areas that a good part of its subject-bearing sentences have.
@@ -16,10 +18,10 @@ import html
 import math
 import re
 import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,12 @@ MIN_SHARE = 0.001
 #: Lower bound of a rule's confidence: one standard error below the observed one.
 Z = 1.0
 MIN_CONFIDENCE = 0.5
+#: Patterns grow to so many items; those of all items of a sentence would double with each.
 MAX_ITEMS = 3
+#: A longer run of words without an end of sentence is read in pieces.
+MAX_WORDS = 64
+#: The rules are held by every worker; more than so many are refused.
+MAX_RULES = 2_000_000
 #: A more special rule has to be surer by this much.
 GAIN = 0.02
 #: "About a quarter": shares of planted parts and of passing remarks leave a gap around it.
@@ -63,7 +70,9 @@ def sentence_items(text: str | None) -> list[set[str]]:
     text = "".join(c for c in text if not unicodedata.combining(c))
     out = []
     for sentence in _SENTENCE.split(text):
-        if words := _WORD.findall(sentence):
+        found = _WORD.findall(sentence)
+        for start in range(0, len(found), MAX_WORDS):
+            words = found[start : start + MAX_WORDS]
             out.append({*words, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))})
     return out
 
@@ -74,48 +83,52 @@ def _bound(k: Column, n: Column) -> Column:
     return (p + Z * Z / 2 / n - Z * F.sqrt(p * (1 - p) / n + Z * Z / 4 / n / n)) / (1 + Z * Z / n)
 
 
+def bound_of(k: float, n: float) -> float:
+    p = k / n
+    return (p + Z * Z / 2 / n - Z * math.sqrt(p * (1 - p) / n + Z * Z / 4 / n / n)) / (1 + Z * Z / n)
+
+
 def agreed_labels(labels: DataFrame) -> DataFrame:
-    """doc_id, area of documents to which all annotators give one and the same area; at most MAX_LABELLED."""
+    """doc_id, areas of labelled documents: the areas more than half of its annotators give; at most MAX_LABELLED documents."""
+    said = labels.where(F.col("doc_id").isNotNull() & F.col("area").isNotNull()).select("doc_id", F.coalesce("annotator", F.lit("")).alias("annotator"), "area").distinct()
+    of_doc = said.groupBy("doc_id").agg(F.countDistinct("annotator").alias("_all"))
     return (
-        labels.where(F.col("doc_id").isNotNull() & F.col("area").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.countDistinct("area").alias("n"), F.min("area").alias("area"))
-        .where(F.col("n") == 1)
+        said.groupBy("doc_id", "area").agg(F.count(F.lit(1)).alias("_n")).join(of_doc, "doc_id").where(2 * F.col("_n") > F.col("_all"))
+        .groupBy("doc_id").agg(F.array_sort(F.collect_set("area")).alias("areas"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(MAX_LABELLED)
-        .select("doc_id", "area")
     )
 
 
 def _training_items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = [
-            (doc, area, at, sorted(items))
-            for doc, area, text in zip(batch["doc_id"], batch["area"], batch["text"], strict=True)
+            (doc, areas, at, sorted(items))
+            for doc, areas, text in zip(batch["doc_id"], batch["areas"], batch["text"], strict=True)
             for at, items in enumerate(sentence_items(text))
         ]
-        yield pd.DataFrame(rows, columns=["doc_id", "area", "at", "items"])
+        yield pd.DataFrame(rows, columns=["doc_id", "areas", "at", "items"])
 
 
 def mine_rules(documents: DataFrame, labels: DataFrame) -> pd.DataFrame:
-    """items, area, weight of the rules, on the driver; their number is bounded by the labelled sample's."""
+    """items, area, weight of the rules, on the driver; their number is bounded by the labelled sample's and checked.
+
+    A document of several areas counts for each of them.
+    """
     none = pd.DataFrame({"items": [], "area": [], "weight": []})
     agreed = cut(agreed_labels(labels))
     n_docs = agreed.count()
     if not n_docs:
         return none
-    sentences = cut(
-        documents.select("doc_id", "text").join(F.broadcast(agreed), "doc_id").mapInPandas(
-            _training_items, "doc_id long, area string, at int, items array<string>"
-        )
-    )
+    texts = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # At most MAX_LABELLED rows of an id and a few areas.
+    own = F.broadcast(agreed.select(F.col("doc_id").cast("long").alias("doc_id"), "areas"))
+    sentences = cut(texts.join(own, "doc_id").mapInPandas(_training_items, "doc_id long, areas array<string>, at int, items array<string>"))
     least = max(2, math.ceil(MIN_SHARE * n_docs))
-    per_area = (
-        sentences.select("doc_id", "area", F.explode("items").alias("item")).distinct()
-        .groupBy("item", "area").agg(F.count(F.lit(1)).alias("k"))
-    )
+    told = sentences.select("doc_id", "areas", F.explode("items").alias("item")).distinct()
+    per_area = told.select("item", F.explode("areas").alias("area"), (1.0 / F.size("areas")).alias("part")).groupBy("item", "area").agg(F.count(F.lit(1)).alias("k"), F.sum("part").alias("part"))
     items = (
-        per_area.groupBy("item").agg(F.sum("k").alias("n"), F.max(F.struct("k", "area")).alias("m"))
+        per_area.groupBy("item").agg(F.round(F.sum("part")).alias("n"), F.max(F.struct("k", "area")).alias("m"))
         .where(F.col("n") >= least)
         .select("item", "n", F.col("m.area").alias("area"), _bound(F.col("m.k"), F.col("n")).alias("bound"))
     )
@@ -126,59 +139,56 @@ def mine_rules(documents: DataFrame, labels: DataFrame) -> pd.DataFrame:
     pairs = items.where(F.col("item").contains(" ")).withColumn("w1", split[0]).withColumn("w2", split[1])
     pairs = pairs.join(word("w1"), ["w1", "area"], "left").join(word("w2"), ["w2", "area"], "left")
     surer = F.col("bound") > F.greatest(F.coalesce("w1_b", F.lit(0.0)), F.coalesce("w2_b", F.lit(0.0))) + GAIN
-    telling = items.where(~F.col("item").contains(" ")).select("item", "area", "bound").unionByName(pairs.where(surer).select("item", "area", "bound"))
+    telling = items.where(~F.col("item").contains(" ")).select("item", "n", "area", "bound").unionByName(pairs.where(surer).select("item", "n", "area", "bound"))
     telling = cut(telling.where(F.col("bound") >= MIN_CONFIDENCE - 0.05))
-    baskets = cut(
-        sentences.select("doc_id", "at", "area", F.explode("items").alias("item"))
-        .join(F.broadcast(telling.select("item")), "item")
-        .groupBy("doc_id", "at", "area")
-        .agg(F.collect_set("item").alias("items"))
-        .select(F.concat("items", F.array(F.concat(F.lit("="), "area"))).alias("items"))
+    baskets = (
+        sentences.select("doc_id", "at", "areas", F.explode("items").alias("item"))
+        .join(telling.select("item", "n", "bound"), "item")
+        .groupBy("doc_id", "at", "areas")
+        .agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "item", "bound"))).alias("ranked"))
     )
-    n_baskets = baskets.count()
-    if not n_baskets:
-        return none
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / n_baskets), minConfidence=1.0).fit(baskets)
-    found = model.freqItemsets.select(
-        F.array_sort(F.filter("items", lambda x: ~x.startswith("="))).alias("items"),
-        F.filter("items", lambda x: x.startswith("=")).alias("classes"),
-        "freq",
-    ).where(F.size("items").between(1, MAX_ITEMS))
-    sides = found.where(F.size("classes") == 0).select("items", F.col("freq").alias("n"))
-    rules = found.where(F.size("classes") == 1).join(sides, "items").select(
-        "items", F.substring(F.col("classes")[0], 2, 100).alias("area"), _bound(F.col("freq"), F.col("n")).alias("bound")
+    # Each item's group: what stands beside it and is more frequent (equal ones by name), so every pattern grows in one group.
+    groups = baskets.select("doc_id", "areas", F.col("ranked.item").alias("items"), F.posexplode("ranked").alias("pos", "last")).select(
+        F.col("last.item").alias("last"), F.col("last.bound").alias("bound"), "doc_id", "areas", F.slice("items", F.lit(1), F.col("pos")).alias("beside")
     )
-    candidates = rules.where(F.col("bound") >= MIN_CONFIDENCE).toPandas()
-    return pruned(_over_documents(sentences, candidates, least))
-
-
-def _over_documents(sentences: DataFrame, candidates: pd.DataFrame, least: int) -> pd.DataFrame:
-    """The candidates with their confidence counted over documents, as the sentences of one repeat each other."""
-    sets = [frozenset(i) for i in candidates["items"]]
-    distinct = sorted({tuple(sorted(x)) for x in sets})
-    by_first: dict[str, list[tuple[int, frozenset]]] = {}
-    for at, items in enumerate(distinct):
-        by_first.setdefault(items[0], []).append((at, frozenset(items)))
 
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            met: set[tuple] = set()
-            for doc, area, items in zip(batch["doc_id"], batch["area"], batch["items"], strict=True):
-                own = set(items)
-                for x in own:
-                    met.update((doc, area, at) for at, whole in by_first.get(x, ()) if whole <= own)
-            yield pd.DataFrame(list(met), columns=["doc_id", "area", "rule"])
-
-    counted = (
-        sentences.select("doc_id", "area", "items").mapInPandas(match, "doc_id long, area string, rule int").distinct()
-        .groupBy("rule", "area").agg(F.count(F.lit(1)).alias("k"))
-        .groupBy("rule").agg(F.sum("k").alias("n"), F.max(F.struct("k", "area")).alias("m"))
-        .where(F.col("n") >= least)
-        .select("rule", F.col("m.area").alias("area"), _bound(F.col("m.k"), F.col("n")).alias("bound"))
-        .where(F.col("bound") >= MIN_CONFIDENCE)
-        .toPandas()
-    )
-    return pd.DataFrame({"items": [list(distinct[r]) for r in counted["rule"]], "area": counted["area"], "bound": counted["bound"]})
+    def grow(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(patterns(group, least), columns=["items", "area", "bound"])
+
+    longer = groups.where(F.size("beside") > 0).groupBy("last").applyInPandas(grow, "items array<string>, area string, bound double")
+    single = telling.where(F.col("bound") >= MIN_CONFIDENCE).select(F.array("item").alias("items"), "area", "bound")
+    rules = single.unionByName(longer).limit(MAX_RULES + 1).toPandas()
+    if len(rules) > MAX_RULES:
+        raise ValueError("too many rules for every worker to hold: raise MIN_SHARE or MIN_CONFIDENCE")
+    return pruned(rules) if len(rules) else none
+
+
+def patterns(group: pd.DataFrame, least: int) -> list[tuple[list[str], str, float]]:
+    """Rules of two to MAX_ITEMS items that end in the group's item and are surer than that alone."""
+    last, alone = group["last"].iloc[0], float(group["bound"].iloc[0])
+    found: list[tuple[list[str], str, float]] = []
+
+    def extend(suffix: list[str], rows: list[tuple[int, tuple[str, ...], list[str]]]) -> None:
+        by_item: dict[str, list[tuple[int, tuple[str, ...], list[str]]]] = defaultdict(list)
+        for doc, areas, beside in rows:
+            for i, item in enumerate(beside):
+                by_item[item].append((doc, areas, beside[:i]))
+        for item, own in by_item.items():
+            docs = {doc: areas for doc, areas, _ in own}
+            if len(docs) < least:
+                continue
+            counts: dict[str, int] = defaultdict(int)
+            for areas in docs.values():
+                for area in areas:
+                    counts[area] += 1
+            k, area = max((k, a) for a, k in counts.items())
+            if (bound := bound_of(k, len(docs))) >= max(MIN_CONFIDENCE, alone + GAIN):
+                found.append((sorted([item, *suffix]), area, bound))
+            if len(suffix) + 1 < MAX_ITEMS:
+                extend([item, *suffix], own)
+
+    extend([last], [(d, tuple(a), list(b)) for d, a, b in zip(group["doc_id"], group["areas"], group["beside"], strict=True)])
+    return found
 
 
 def pruned(rules: pd.DataFrame) -> pd.DataFrame:

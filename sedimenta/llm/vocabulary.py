@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.edits import typing_distance
-from sedimenta.llm.lexicon import PHRASES, SAME, STOP
+from sedimenta.llm.lexicon import SAME, STOP
 from sedimenta.llm.names import plain
 
 UNMATCHED = "unmatched"
@@ -69,16 +69,25 @@ def designators(tokens: list[str]) -> list[str]:
 
 
 class Terms:
-    """The dictionary of one list; ``entries`` are (code, label, aliases)."""
+    """The dictionary of one list; ``entries`` are (code, label, aliases), ``phrases`` wordings of labels the caller knows.
 
-    def __init__(self, vocab: str, entries: list[tuple[str, str, list[str]]], frequency: dict[str, int] | None = None) -> None:
+    The initials of a label of three words or more are an alias of it, unless
+    two labels share them.
+    """
+
+    def __init__(self, vocab: str, entries: list[tuple[str, str, list[str]]], frequency: dict[str, int] | None = None, phrases: dict[str, str] | None = None) -> None:
         self.vocab = vocab
         self.codes: dict[str, str] = {}
         self.bags: dict[frozenset, str] = {}
         self.phases: dict[tuple[str, ...], str] = {}
         self.frequency = frequency or {}
+        initials: dict[str, set[str]] = defaultdict(set)
+        for _, label, _ in entries:
+            letters = "".join(w[0] for w in re.findall(r"[a-z0-9]+", re.sub(r"'s\b", "", plain(label))) if w not in STOP)
+            initials[letters].add(label)
+        own = {label: letters for letters, labels in initials.items() for label in labels if len(letters) >= 3 and len(labels) == 1}
         for code, label, aliases in entries:
-            said = [label, *aliases, code.replace("_", " "), *PHRASES.get(vocab, {}).get(label, "").split(";")]
+            said = [label, *aliases, code.replace("_", " "), *(phrases or {}).get(label, "").split(";"), own.get(label, "")]
             for phrase in said:
                 tokens = self._tokens(phrase)
                 if not tokens:
@@ -87,6 +96,15 @@ class Terms:
                     self.phases.setdefault(tuple(sorted({x for x in m.groups() if x})), code)
                 self.codes.setdefault(" ".join(tokens), code)
                 self.bags.setdefault(frozenset(t for t in tokens if t not in STOP) or frozenset(tokens), code)
+        among: dict[str, int] = defaultdict(int)
+        for bag in self.bags:
+            for w in bag:
+                among[w] += 1
+        #: Terms of several words by their rarest word, so that a value meets few of them.
+        self.by_rarest: dict[str, list[tuple[frozenset, str]]] = defaultdict(list)
+        for bag, code in self.bags.items():
+            if len(bag) > 1:
+                self.by_rarest[min(bag, key=lambda w: (among[w], w))].append((bag, code))
         self.by_deletion: dict[str, list[str]] = defaultdict(list)
         for term in self.codes:
             for d in deletions(term, int(limit_for(len(term)))):
@@ -179,7 +197,7 @@ class Terms:
                     size = len({t for t in tokens[i:j] if t not in STOP}) or 1
                     ranked.append(((size, 1, len(term)), self.codes[term]))
         bag = {t for t in tokens if t not in STOP}
-        ranked += [((len(t), 0, sum(map(len, t))), code) for t, code in self.bags.items() if len(t) > 1 and t <= bag]
+        ranked += [((len(t), 0, sum(map(len, t))), code) for w in bag for t, code in self.by_rarest.get(w, ()) if t <= bag]
         best = max((rank for rank, _ in ranked), default=(0, 0, 0))
         found = {code for rank, code in ranked if rank == best}
         return best[0], found.pop() if len(found) == 1 else UNMATCHED
@@ -209,9 +227,12 @@ def verbatims(expected: DataFrame) -> DataFrame:
 _FIELDS = ("phase", "indication", "modality")
 
 
-def _clean_counts(entries: dict) -> object:
+Phrases = dict[str, dict[str, str]]
+
+
+def _clean_counts(entries: dict, phrases: Phrases) -> object:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms = {f: Terms(f, entries.get(f, [])) for f in _FIELDS}
+        terms = {f: Terms(f, entries.get(f, []), None, phrases.get(f)) for f in _FIELDS}
         seen: dict[tuple[str, str], int] = defaultdict(int)
         known: dict[tuple[str, str], str | None] = {}
         for batch in batches:
@@ -231,9 +252,9 @@ def _clean_counts(entries: dict) -> object:
     return count
 
 
-def _assigned(entries: dict, frequency: dict[str, dict[str, int]]) -> object:
+def _assigned(entries: dict, frequency: dict[str, dict[str, int]], phrases: Phrases) -> object:
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms = {f: Terms(f, entries.get(f, []), frequency.get(f)) for f in _FIELDS}
+        terms = {f: Terms(f, entries.get(f, []), frequency.get(f), phrases.get(f)) for f in _FIELDS}
         known: dict[tuple[str, str], str] = {}
         for batch in batches:
             out = []
@@ -252,12 +273,13 @@ def _assigned(entries: dict, frequency: dict[str, dict[str, int]]) -> object:
     return assign
 
 
-def mapped_verbatims(expected: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def mapped_verbatims(expected: DataFrame, vocabulary: DataFrame, phrases: Phrases | None = None) -> DataFrame:
     """expected_id, field, pos, verbatim, code of every verbatim that isn't null or blank.
 
     ``expected`` has expected_id, programs (array of structs with phase_verbatim
     and indication_verbatim) and modality_verbatim; ``vocabulary`` vocab, code,
-    label and aliases. field is 'phase', 'indication' or 'modality', pos counts
+    label and aliases; ``phrases`` may name, per vocab and label, further wordings
+    (divided by semicolons) beside the table's aliases. field is 'phase', 'indication' or 'modality', pos counts
     programs from 0 (nulls and blanks included in the count). code is UNMATCHED
     where no entry fits, or two fit equally. Null arrays have no verbatims, rows
     without expected_id are left out, repeated rows count once, an empty list
@@ -265,12 +287,12 @@ def mapped_verbatims(expected: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """
     entries = read_entries(vocabulary)
     rows = verbatims(expected)
-    counted = rows.mapInPandas(_clean_counts(entries), "field string, term string, n long").groupBy("field", "term").agg(F.sum("n").alias("n"))
+    counted = rows.mapInPandas(_clean_counts(entries, phrases or {}), "field string, term string, n long").groupBy("field", "term").agg(F.sum("n").alias("n"))
     frequency: dict[str, dict[str, int]] = defaultdict(dict)
     for r in counted.collect():  # at most one row a term of the list
         frequency[r["field"]][r["term"]] = r["n"]
     return rows.mapInPandas(
-        _assigned(entries, dict(frequency)), "expected_id long, field string, pos int, verbatim string, code string"
+        _assigned(entries, dict(frequency), phrases or {}), "expected_id long, field string, pos int, verbatim string, code string"
     ).distinct()
 
 

@@ -1,8 +1,9 @@
+import itertools
 import random
 
 import pandas as pd
 
-from sedimenta.llm.subjects import OTHER, Scorer, agreed_labels, makeup, mine_rules, pruned, sentence_items, subject_shares
+from sedimenta.llm.subjects import OTHER, Scorer, agreed_labels, bound_of, makeup, mine_rules, patterns, pruned, sentence_items, subject_shares
 
 WORDS = {"law": ["appeal court", "patent claims", "court ruling"], "sport": ["league match", "penalty kick", "relay team"], "sea": ["coral reef", "tidal current", "deep trench"]}
 FRAMES = ["The report deals with {a} and {b}.", "What remains is {a}.", "After {n} days {a} was compared with {b}."]
@@ -51,8 +52,26 @@ def test_rules_recover_the_areas(spark):
 
 
 def test_labels_have_to_agree(spark):
-    rows = [(1, "a", "x"), (1, "b", "x"), (2, "a", "x"), (2, "b", "y"), (3, "a", "x"), (3, "a", "y"), (None, "a", "x"), (4, "a", None)]
-    assert [tuple(r) for r in agreed_labels(spark.createDataFrame(rows, "doc_id long, annotator string, area string")).collect()] == [(1, "x")]
+    rows = [(1, "a", "x"), (1, "b", "x"), (2, "a", "x"), (2, "b", "y"), (3, "a", "x"), (3, "a", "y"), (None, "a", "x"), (4, "a", None), (5, None, "x"), (5, None, "x")]
+    got = {r.doc_id: r.areas for r in agreed_labels(spark.createDataFrame(rows, "doc_id long, annotator string, area string")).collect()}
+    assert got == {1: ["x"], 3: ["x", "y"], 5: ["x"]}
+
+
+def test_patterns_grow_by_documents_and_no_further_than_allowed():
+    rnd = random.Random(2)
+    rows = [(rnd.randrange(30), rnd.choice([["x"], ["x"], ["y"], ["x", "y"]]), sorted(rnd.sample("abcdefgh", rnd.randrange(1, 6)))) for _ in range(120)]
+    areas = {}
+    rows = [(d, areas.setdefault(d, a), b) for d, a, b in rows]
+    group = pd.DataFrame([("z", 0.1, d, a, b) for d, a, b in rows], columns=["last", "bound", "doc_id", "areas", "beside"])
+    got = {(tuple(i), a): b for i, a, b in patterns(group, 3)}
+    for size in (1, 2, 3):
+        for items in itertools.combinations("abcdefgh", size):
+            docs = {d: a for d, a, b in rows if set(items) <= set(b)}
+            ks = {x: sum(x in a for a in docs.values()) for x in "xy"}
+            best = max(ks, key=lambda x: (ks[x], x))
+            sure = len(docs) >= 3 and bound_of(ks[best], len(docs)) >= 0.5
+            assert ((tuple(sorted([*items, "z"])), best) in got) == (sure and size < 3)
+    assert len(got) > 20
 
 
 def test_pruning_and_evidence():
@@ -61,3 +80,4 @@ def test_pruning_and_evidence():
     scorer = Scorer(rules)
     assert scorer.area({"a", "b"}) == "x" and scorer.area({"c"}) is None and scorer.area({"c", "d"}) == "y"
     assert sentence_items("A b cd. EF<br>gh &amp; ij") == [{"cd"}, {"ef", "gh", "ij", "ef gh", "gh ij"}] and sentence_items(None) == []
+    assert sum(len([i for i in x if " " not in i]) for x in sentence_items(" ".join(f"w{a}{b}{c}" for a in "abcde" for b in "abcdef" for c in "abcdef"))) == 180

@@ -46,3 +46,10 @@ def test_an_abbreviation_depends_on_what_fits_not_on_the_alphabet():
     assert terms.code("Multiple myel.") == "MM" and terms.code("mult. myel.") == "MM"
     assert terms.code("chronic myel. leuk.") == "B" and terms.code("acute myel.") == UNMATCHED
     assert terms.code("multiple " + "myel. leuk. acu. sar. " * 40) == "A"
+
+
+def test_wordings_are_the_callers_and_initials_a_rule():
+    entries = [("COPD", "Chronic obstructive pulmonary disease", []), ("X", "Alpha beta gamma", []), ("Y", "Any big game", []), ("S", "Schizophrenia", [])]
+    plain, told = Terms("indication", entries), Terms("indication", entries, None, {"Schizophrenia": "split mind; dementia praecox", "Absent": "never"})
+    assert plain.code("COPD") == "COPD" and plain.code("ABG") == UNMATCHED
+    assert plain.code("split mind") == UNMATCHED and told.code("splti mind") == "S" and told.code("never") == UNMATCHED
