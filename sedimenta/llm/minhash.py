@@ -45,3 +45,11 @@ class MinHash:
         mixed = (grams[:, None] * self.a[None, :] + self.b[None, :]) % _P
         least = mixed.min(axis=0).reshape(self.bands, self.rows)
         return [xxhash.xxh64_intdigest(row.tobytes(), seed=i) - (1 << 63) for i, row in enumerate(least)]
+
+
+def banding(similarity: float, recall: float, most_bands: int) -> tuple[int, int]:
+    """Bands and rows: the most rows a band whose number at ``recall`` stays within ``most_bands``."""
+    rows = 1
+    while (needed := bands_for(similarity, recall, rows + 1)) <= most_bands:
+        rows += 1
+    return bands_for(similarity, recall, rows), rows

@@ -450,3 +450,47 @@ def variant_pairs(clusters: DataFrame) -> DataFrame:
     a = clusters.select("kind", "cluster", F.col("name").alias("name_a"))
     b = clusters.select("kind", "cluster", F.col("name").alias("name_b"))
     return a.join(b, ["kind", "cluster"]).where(F.col("name_a") < F.col("name_b")).select("kind", "name_a", "name_b")
+
+
+#: MinHash banding of tokens as measured by :func:`banding_recall`: padded 2-grams, a recall of RECALL for one slip.
+GRAM = 2
+RECALL = 0.99
+MOST_BANDS = 40
+
+
+def banding_recall(expected: DataFrame) -> DataFrame:
+    """kind, length, pairs, met, bands, rows: near tokens that MinHash banding tuned by length would bring together.
+
+    Bands and rows follow from the collision curve at the similarity a
+    transposition leaves in a token of that length. ``pairs`` are all pairs of
+    different tokens within the slips the verification forgives, by the longer
+    one's length; ``met`` those that share a band.
+    """
+    from sedimenta.llm.minhash import MinHash, banding, edit_similarity
+
+    rows = expected.select("preferred_name", "synonyms", F.col("partners.name").alias("partners"))
+    forms = cut(rows.mapInPandas(_spellings, "kind string, name string, form string, hub string").select("kind", "form").distinct())
+
+    def met(kind: str) -> object:
+        def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            hashers: dict[int, MinHash] = {}
+            for batch in batches:
+                out = []
+                for x, y in zip(batch["x"], batch["y"], strict=True):
+                    n = max(len(x), len(y))
+                    if n not in hashers:
+                        hashers[n] = MinHash(*banding(edit_similarity(n, GRAM, GRAM + 1), RECALL, MOST_BANDS), GRAM)
+                    h = hashers[n]
+                    out.append((kind, n, bool(set(h.keys(x)) & set(h.keys(y))), h.bands, h.rows))
+                yield pd.DataFrame(out, columns=["kind", "length", "met", "bands", "rows"])
+
+        return judge
+
+    found = None
+    for kind in ("partner", "asset"):
+        seats = forms.where((F.col("kind") == kind) & ~F.col("form").startswith("d|")).repartition("form").mapInPandas(_seats, "role string, token string, beside string, form string")
+        tokens = seats.where("role <> 'joined'").select(F.lit(kind).alias("kind"), "token", F.lit("").alias("part")).distinct()
+        near = near_tokens(tokens, kind).where("x < y").select("x", "y").distinct()
+        judged = near.mapInPandas(met(kind), "kind string, length int, met boolean, bands int, rows int")
+        found = judged if found is None else found.unionByName(judged)
+    return found.groupBy("kind", "length", "bands", "rows").agg(F.count(F.lit(1)).alias("pairs"), F.count_if("met").alias("met"))

@@ -42,7 +42,7 @@ def test_mapping_of_nested_rows(spark):
 
 
 def test_an_abbreviation_depends_on_what_fits_not_on_the_alphabet():
-    terms = Terms("indication", [("MM", "Multiple myeloma", []), ("MS", "Multiple sclerosis", []), ("A", "Acute myeloblastic leukemia", []), ("B", "Chronic myelogenous leukemia", []), ("C", "Acute myeloid sarcoma", []), ("D", "Myelitis", [])])
+    terms = Terms("indication", [("MM", "Multiple myeloma", []), ("MS", "Multiple sclerosis", []), ("A", "Acute myeloblastic leukemia", []), ("B", "Chronic myelogenous leukemia", []), ("C", "Acute myeloid sarcoma", []), ("D", "Myelitis", [])], None, {"Multiple myeloma": "myeloma"})
     assert terms.code("Multiple myel.") == "MM" and terms.code("mult. myel.") == "MM"
     assert terms.code("chronic myel. leuk.") == "B" and terms.code("acute myel.") == UNMATCHED
     assert terms.code("multiple " + "myel. leuk. acu. sar. " * 40) == "A"
