@@ -129,7 +129,7 @@ v AS (SELECT expected_id, 'phase' AS field, pos, p.phase_verbatim AS v FROM p UN
 SELECT field, count(*) AS verbatims, count(DISTINCT expected_id) AS rows, 0::BIGINT AS without FROM v WHERE regexp_matches(v, '[^\\s\\x{a0}]') GROUP BY 1
 """,
     "p8_placed": """
-SELECT capacity_id, (SELECT count(DISTINCT doc_id) FROM documents WHERE text <> '') AS documents, 0::BIGINT AS overfull
+SELECT capacity_id, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, 0::BIGINT AS overfull
 FROM (SELECT DISTINCT capacity_id FROM pack_capacity WHERE capacity_tokens > 0)
 """,
     "p10_covered": """
