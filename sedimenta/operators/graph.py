@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,3 +103,43 @@ def neighbours(node: Column, mechanism: DataFrame, indication: DataFrame, born:
     own = born.where(F.col("member") == node).select("born_on").first()
     since = F.lit(own[0] if own else None).cast(born.schema["born_on"].dataType)
     return edges.join(born, "member", "left").select("member", "kind", "weight", F.greatest(F.col("born_on"), since).alias("born_on"))
+
+
+def walk_up(seeds: DataFrame, edges: DataFrame, max_depth: int, max_nodes: int, stop: Sequence[str] = (), keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """node, depth (the least) of all nodes reached upwards from ``seeds``, which stand at 0.
+
+    Breadth first: a node in ``stop`` is reached and not passed, one that
+    ``keep`` rejects isn't reached. No new level begins once ``max_nodes`` are
+    found. ``edges`` has parent and child; cycles and diamonds cost nothing.
+    """
+    steps = edges.where(F.col("parent").isNotNull() & F.col("child").isNotNull()).select("parent", "child").distinct()
+    if keep:
+        steps = steps.where(keep(F.col("parent")))
+    found = cut(seeds.where(F.col("node").isNotNull()).select("node").distinct().withColumn("depth", F.lit(0)))
+    frontier = found
+    for depth in range(1, max_depth + 1):
+        onward = frontier.where(~F.col("node").isin(*stop)) if stop else frontier
+        reached = onward.join(steps, onward["node"] == steps["child"]).select(F.col("parent").alias("node")).distinct().join(found.select("node"), "node", "left_anti")
+        frontier = cut(reached.withColumn("depth", F.lit(depth)))
+        if frontier.isEmpty():
+            break
+        found = found.unionByName(frontier)
+        if found.count() >= max_nodes:
+            break
+    return found
+
+
+def class_edges(classes: DataFrame, targets: str, indications: str) -> DataFrame:
+    """src, dst (src <= dst), kind, weight: edges between classes of members with the same sets.
+
+    Sharing a target is 'mechanism' (1.0), sharing an indication and no target
+    'competitive' (0.7); a class of several members (``n`` > 1) also has an edge
+    to itself. Classes meet on each value they share, so their number, not that
+    of the members, bounds the pairs.
+    """
+    side = lambda c: classes.select(F.col("class").alias(c), F.col("n").alias(f"{c}_n"), F.explode(targets).alias("value"), F.lit("t").alias("of")).unionByName(
+        classes.select(F.col("class").alias(c), F.col("n").alias(f"{c}_n"), F.explode(indications).alias("value"), F.lit("i").alias("of"))
+    )
+    met = side("src").join(side("dst"), ["of", "value"]).where((F.col("src") < F.col("dst")) | ((F.col("src") == F.col("dst")) & (F.col("src_n") > 1)))
+    kinds = met.groupBy("src", "dst").agg(F.bool_or(F.col("of") == "t").alias("same"))
+    return kinds.select("src", "dst", F.when(F.col("same"), "mechanism").otherwise("competitive").alias("kind"), F.when(F.col("same"), 1.0).otherwise(0.7).alias("weight"))

@@ -30,6 +30,13 @@ def text_filter(programs: DataFrame, query: str, *columns: str) -> DataFrame:
     return programs.where(hit)
 
 
+def lookup(rows: DataFrame, said: str, id_column: str, name: str) -> DataFrame:
+    """The first row by name whose id or name is ``said``, or whose name contains it, in any case."""
+    number = F.lit(said).try_cast("long") if dict(rows.dtypes)[id_column] != "string" else F.lit(said)
+    hit = F.coalesce(F.col(id_column) == number, F.lit(False)) | (F.upper(name) == said.upper()) | F.col(name).ilike(f"%{said}%")
+    return rows.where(hit).orderBy(name, id_column).limit(1)
+
+
 def _ranked(scored: DataFrame, *order: Column) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(Window.orderBy(*order)) - 1)
 
