@@ -14,6 +14,10 @@ DEFAULT_TYPE = "pipeline_page"
 FILE_HINTS = "pipeline|product|candidate|portfolio|development|rd|r-d|clinical"
 SECTION_HINTS = "science|research|development|portfolio|products|medicines|candidates|innovation|programs"
 PRESS_MARKERS = "globenewswire|globe newswire|prnewswire|pr newswire|business wire|businesswire|for immediate release|accesswire|/source:"
+IMAGE_HINTS = "pipeline|program|candidate|development|clinical"
+IMAGE_ATTRIBUTES = ("src", "alt", "title", "class", "id", "data-src", "data-lazy-src")
+BLOCKED_STATUSES = (401, 403, 429, 503)
+TEXT_RICH_HITS = 12
 # ---- end of fixed values ----
 
 
@@ -55,6 +59,53 @@ def links(html: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit("(?i)href=[\"']([^\"']+)[\"']"), F.lit(1))
 
 
+def discovered(base: Column, html: Column) -> Column:
+    """Array of (url, type, rank) of the links that lead to documents or to pages about the pipeline, each URL once, by rank."""
+    urls = F.transform(links(html), lambda h: absolute_url(base, h))
+    typed = F.transform(F.array_distinct(urls), lambda u: F.struct(source_rank(F.coalesce(url_type(u), F.lit(DEFAULT_TYPE))).alias("rank"), u.alias("url"), F.coalesce(url_type(u), F.lit(DEFAULT_TYPE)).alias("type")))
+    return F.array_sort(F.filter(typed, lambda x: (x["type"] != DEFAULT_TYPE) | F.lower(x["url"]).contains("pipeline")))
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, empty if it has none."""
+    return F.regexp_extract(tag, f"(?i)(?<![-a-z0-9_:.]){name}=[\"']([^\"']*)[\"']", 1)
+
+
+def image_urls(base: Column, html: Column) -> Column:
+    """URLs of the images whose attributes say that they show a pipeline, sorted, each once."""
+    tags = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"(?i)<img\b[^>]*>"), F.lit(0))
+    said = lambda t: F.concat_ws(" ", *[attribute(t, a) for a in IMAGE_ATTRIBUTES])
+    first = lambda t: F.coalesce(*[F.nullif(attribute(t, a), F.lit("")) for a in ("src", "data-src", "data-lazy-src")])
+    hits = F.filter(tags, lambda t: F.lower(said(t)).rlike(IMAGE_HINTS) & first(t).isNotNull())
+    return F.array_sort(F.array_distinct(F.transform(hits, lambda t: absolute_url(base, first(t)))))
+
+
+def cards(html: Column, block: str, name: str, indication: str, phase: str, note: str) -> Column:
+    """Array of (name, indication, phase, notes) read from the blocks of a structured page; blocks that lack one of the three are left out.
+
+    The parameters are patterns; each field is the first group of its first match.
+    """
+    found = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(block), F.lit(1))
+    field = lambda b, p: plain_html(F.regexp_extract(b, p, 1))
+    notes = lambda b: F.array_join(F.filter(F.transform(F.regexp_extract_all(b, F.lit(note), F.lit(1)), plain_html), lambda x: x != ""), "; ")
+    read = F.transform(found, lambda b: F.struct(field(b, name).alias("name"), field(b, indication).alias("indication"), field(b, phase).alias("phase"), notes(b).alias("notes")))
+    return F.filter(read, lambda c: (c["name"] != "") & (c["indication"] != "") & (c["phase"] != ""))
+
+
+def render_decision(status: Column, text: Column, images: Column, fallback: bool = True) -> Column:
+    """keep, fallback (blocked, failed or without evidence) or give_up of a rendered page."""
+    poor = (phase_hits(text) < 3) & ~images
+    again = status.isNull() | status.isin(*BLOCKED_STATUSES) | (poor & (status < 400))
+    return F.when(again, F.lit("fallback" if fallback else "give_up")).when(status >= 400, "give_up").otherwise("keep")
+
+
+def reading_mode(text: Column, document: Column, images: Column, source_type: Column) -> Column:
+    """text (dense phase words in the page itself), visual (an image page, or a chart and few words) or both."""
+    rich = ~document & (images == 0) & (phase_hits(text) >= TEXT_RICH_HITS)
+    visual = (source_type == "image_page") | ((images > 0) & (phase_hits(text) < 3))
+    return F.when(visual, "visual").when(rich, "text").otherwise("both")
+
+
 def is_promotable(url: Column, source_type: Column, page_type: Column) -> Column:
     """A linked document that outranks the page and whose URL looks like one about the pipeline."""
     return source_type.isin("csv_doc", "xlsx_doc", "pdf_doc") & (source_rank(source_type) < source_rank(page_type)) & F.lower(url).rlike(FILE_HINTS)

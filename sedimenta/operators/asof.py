@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators.ordered import ROWS_PER_BLOCK, hot_blocks
 
-#: Rows (events and versions) aimed at in one bucket.
-ROWS_PER_BUCKET = 50_000
+#: Buckets of one shuffle partition; partitions are set to fit the memory of a task, a bucket is a part of one.
+BUCKETS_PER_PARTITION = 2
 LEVELS = 9  # 2**8 slices at most, as MAX_BLOCKS
 
 
@@ -102,7 +102,7 @@ def _join_bucket(rows: pa.Table) -> pa.Table:
         return schema.empty_table()
     state = _timeline(v)  # noqa: F841 (DuckDB reads it by name)
     wanted = e[["g", "event_id", "at"]]  # noqa: F841
-    con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
+    con = duckdb.connect(":memory:", config={"threads": 1})
     try:
         con.register("wanted", wanted)
         con.register("state", state)
@@ -120,7 +120,7 @@ def known_at_event(
     versions: DataFrame,
     keys: Sequence[str],
     rows_per_slice: int = ROWS_PER_BLOCK,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    buckets: int | None = None,
 ) -> DataFrame:
     """event_id, version_id: the version of each event's key that was valid and known at event_at.
 
@@ -187,7 +187,7 @@ def known_at_event(
     placed = begin.unionByName(end).unionByName(winners).withColumn("event_id", none).withColumn("at", none)
     rows = placed.unionByName(evs, allowMissingColumns=True)
     # Buckets hold whole (key, slice) groups, so that no more Python groups are made than needed.
-    n = _bucket_count(events, versions, rows_per_bucket)
+    n = buckets or BUCKETS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         rows.withColumn("bucket", F.pmod(F.xxhash64(*ks, "slice"), F.lit(n)).cast("int"))
         .groupBy("bucket")
@@ -195,11 +195,6 @@ def known_at_event(
     )
 
 
-def _bucket_count(events: DataFrame, versions: DataFrame, rows_per_bucket: int) -> int:
-    rows = events.select(F.lit(1)).count() + versions.select(F.lit(1)).count()
-    return max(8, -(-rows // rows_per_bucket))
-
-
 def event_versions(events: DataFrame, versions: DataFrame, born: DataFrame) -> DataFrame:
     """Problem 3: :func:`known_at_event` for events of programs already born.
 

@@ -93,7 +93,7 @@ def neighbours(node: Column, mechanism: DataFrame, indication: DataFrame, born:
     """
     def sharing(links: DataFrame) -> DataFrame:
         keys = links.where(F.col("member") == node).select("key").distinct()
-        return links.join(F.broadcast(keys), "key", "left_semi").where(F.col("member") != node).select("member").distinct()
+        return links.join(keys, "key", "left_semi").where(F.col("member") != node).select("member").distinct()
 
     same_target = sharing(mechanism)
     rivals = sharing(indication).join(same_target, "member", "left_anti")

@@ -313,11 +313,11 @@ _PHASE_WORDS = r"\b(pre[- ]?clinical|phase\s*[1-4]|phase\s*(?:i{1,3}|iv)\b|ph\s*
 
 
 @query(rf"""WITH x AS (SELECT doc_id, len(regexp_extract_all(text, '{_PHASE_WORDS}', 0, 'i')) AS hits, len(regexp_extract_all(text, '<tr\b', 0, 'i')) AS rows, regexp_matches(text, '<table\b', 'i') AS has_table FROM documents)
-SELECT doc_id, hits::INT AS hits, CASE WHEN has_table AND rows >= 4 AND hits >= 3 THEN 'html_table' WHEN hits >= 3 AND rows < 4 THEN 'js_cards' ELSE 'pipeline_page' END AS class FROM x""")
+SELECT doc_id, hits::INT AS hits, CASE WHEN doc_id % 3 = 0 AND hits < 3 THEN 'image_page' WHEN has_table AND rows >= 4 AND hits >= 3 THEN 'html_table' WHEN hits >= 3 AND rows < 4 THEN 'js_cards' ELSE 'pipeline_page' END AS class FROM x""")
 def page_classes(s: SparkSession, d: str) -> DataFrame:
-    """Class of every document read as a page."""
+    """Class of every document read as a page; every third is taken to show an image."""
     docs = table(s, d, "documents")
-    return docs.select("doc_id", tx.phase_hits(F.col("text")).alias("hits"), web.page_class(F.col("text"), F.col("text"), F.lit(False)).alias("class"))
+    return docs.select("doc_id", tx.phase_hits(F.col("text")).alias("hits"), web.page_class(F.col("text"), F.col("text"), F.col("doc_id") % 3 == 0).alias("class"))
 
 
 @query(r"""WITH u AS (SELECT doc_id, 'https://www.example.org/' || source || '/' || doc_id || CASE source WHEN 'annual_report' THEN '.pdf' WHEN 'qa_note' THEN '.XLSX?v=2' WHEN 'legal_filing' THEN '.csv#top' ELSE '' END AS url FROM documents),
@@ -364,11 +364,12 @@ f AS (SELECT DISTINCT snapshot_id, 'asset' AS category, asset, '' AS value FROM
 UNION SELECT snapshot_id, 'modality', asset, regexp_replace(lower(modality_verbatim), '[^a-z0-9]+', '', 'g') FROM k WHERE modality_verbatim <> ''
 UNION SELECT snapshot_id, 'target', asset, regexp_replace(lower(target_verbatim), '[^a-z0-9]+', '', 'g') FROM k WHERE target_verbatim <> ''
 UNION SELECT snapshot_id, 'program', asset, regexp_replace(lower(coalesce(p.indication_verbatim, '')), '[^a-z0-9]+', '', 'g') FROM (SELECT snapshot_id, asset, unnest(programs) AS p FROM k)
+UNION SELECT snapshot_id, 'phase', asset, indication || '/' || CASE key {IDENT} ELSE key END FROM (SELECT snapshot_id, asset, regexp_replace(lower(coalesce(p.indication_verbatim, '')), '[^a-z0-9]+', '', 'g') AS indication, coalesce(regexp_replace({PRE}, '[^a-z0-9]+', '', 'g'), '') AS key FROM (SELECT snapshot_id, asset, unnest(programs) AS p FROM k))
 UNION SELECT snapshot_id, 'partner', asset, regexp_replace(lower(coalesce(p.name, '')), '[^a-z0-9]+', '', 'g') FROM (SELECT snapshot_id, asset, unnest(partners) AS p FROM k))
-SELECT category, count(*) AS facts, count(DISTINCT asset) AS assets FROM f GROUP BY 1""")
+SELECT category, count(*) AS facts, count(DISTINCT asset) AS assets FROM f GROUP BY 1""".replace("{IDENT}", _IDENTITY).replace("{PRE}", _PRECLEAN.format(c="coalesce(p.phase_verbatim, '')")))
 def fact_counts(s: SparkSession, d: str) -> DataFrame:
     docs = table(s, d, "expected_asset").where(F.col("preferred_name").isNotNull()).withColumnRenamed("snapshot_id", "doc")
-    facts = quality.asset_facts(docs).where(F.col("category") != "phase")
+    facts = quality.asset_facts(docs)
     return facts.groupBy("category").agg(F.count(F.lit(1)).alias("facts"), F.countDistinct("asset").alias("assets"))
 
 
@@ -398,34 +399,44 @@ def named_fields(s: SparkSession, d: str) -> DataFrame:
 
 
 _TRI = "list_distinct(flatten(list_transform(list_filter(string_split_regex(lower({c}), '[^a-z0-9]+'), lambda w: w <> ''), lambda w: list_transform(generate_series(1, length(w) + 1), lambda i: substring('  ' || w || ' ', i, 3)))))"
+_LEX = """t AS (SELECT id, text, {tri} AS g FROM items), lex AS (SELECT q.id AS query, t.id, round(len(list_intersect(t.g, q.g)) / len(list_distinct(list_concat(t.g, q.g))), 9) AS similarity
+ FROM t, t q WHERE q.id % 20 = 0), lr AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, id) - 1 AS rank FROM lex WHERE similarity > 0.05)""".replace("{tri}", _TRI.format(c="text"))
+_VEC = """v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings), vr AS (SELECT q.id AS query, v.id, round(list_cosine_distance(v.e, q.e), 9) + 0.0 AS distance FROM v, v q WHERE q.id % 20 = 0),
+vq AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, id) - 1 AS rank FROM vr)"""
 
 
-@query(f"""WITH t AS (SELECT p_partkey AS id, {_TRI.format(c='p_name')} AS a, {_TRI.format(c="'blue steel'")} AS b FROM part),
-x AS (SELECT id, round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 9) AS similarity FROM t)
-SELECT id, similarity, (row_number() OVER (ORDER BY similarity DESC, id) - 1)::INT AS rank FROM x WHERE similarity > 0.05 ORDER BY similarity DESC, id LIMIT 100""")
-def lexical_ranking(s: SparkSession, d: str) -> DataFrame:
-    return search.lexical_top(table(s, d, "part").withColumnRenamed("p_partkey", "id"), "blue steel", 100, "p_name")
+def _names(s: SparkSession, d: str) -> DataFrame:
+    """One row per distinct name of a part, under its smallest key."""
+    return table(s, d, "part").groupBy(F.col("p_name").alias("text")).agg(F.min("p_partkey").alias("id")).select("id", "text")
+
 
+def _queries(rows: DataFrame) -> DataFrame:
+    """The queries of a search: every row whose id is divisible by 20."""
+    return rows.where(F.col("id") % 20 == 0)
 
-_VEC = "WITH q AS (SELECT embedding::DOUBLE[] AS w FROM embeddings WHERE vec_id = 0), x AS (SELECT vec_id AS id, round(list_cosine_distance(embedding::DOUBLE[], w), 9) AS distance FROM embeddings, q)"
 
+@query(f"WITH items AS (SELECT min(p_partkey) AS id, p_name AS text FROM part GROUP BY p_name), {_LEX} SELECT query, id, similarity, rank FROM lr WHERE rank < 10")
+def lexical_ranking(s: SparkSession, d: str) -> DataFrame:
+    rows = _names(s, d)
+    return search.lexical_search(rows, _queries(rows), 10)
 
-@query(f"{_VEC} SELECT id, distance, (row_number() OVER (ORDER BY distance, id) - 1)::INT AS rank FROM x ORDER BY distance, id LIMIT 200")
+
+@query(f"WITH {_VEC} SELECT query, id, distance, rank FROM vq WHERE rank < 10")
 def vector_ranking(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "embeddings").withColumnRenamed("vec_id", "id")
-    return search.vector_top(rows, rows.where(F.col("id") == 0).select(F.col("embedding").alias("wanted")))
+    return search.vector_search(rows, _queries(rows), 10)
 
 
-@query(f"""{_VEC}, v AS (SELECT id, row_number() OVER (ORDER BY distance, id) - 1 AS rank FROM x ORDER BY distance, id LIMIT 200),
-l AS (SELECT vec_id AS id, row_number() OVER (ORDER BY label DESC, vec_id) - 1 AS rank FROM embeddings ORDER BY label DESC, vec_id LIMIT 100),
-r AS (SELECT * FROM v UNION ALL SELECT * FROM l), f AS (SELECT id, round(sum(1.0 / (60 + rank)), 12) AS score FROM r GROUP BY 1)
-SELECT vec_id AS id, coalesce(score, 0.0)::DOUBLE AS score FROM embeddings LEFT JOIN f ON vec_id = f.id""")
+@query(f"""WITH items AS (SELECT p_partkey AS id, p_name AS text FROM part JOIN embeddings ON vec_id = p_partkey), {_LEX}, {_VEC},
+r AS (SELECT query, id, rank FROM lr WHERE rank < 100 UNION ALL SELECT vq.query, vq.id, vq.rank FROM vq WHERE rank < 200 AND query IN (SELECT id FROM items) AND id IN (SELECT id FROM items)),
+f AS (SELECT query, id, round(sum(1.0::DOUBLE / (60 + rank)), 12) AS score FROM r GROUP BY 1, 2)
+SELECT query, id, score, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS place FROM f QUALIFY place <= 20""")
 def fused_ranking(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "embeddings").withColumnRenamed("vec_id", "id")
-    near = search.vector_top(rows, rows.where(F.col("id") == 0).select(F.col("embedding").alias("wanted")))
-    labelled = rows.select("id", "label").orderBy(F.desc("label"), "id").limit(100)
-    labelled = labelled.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("label"), "id")) - 1)
-    return search.fused(rows, near, labelled)
+    """Parts that have a vector, ranked for each query by name and by vector, both fused."""
+    vectors = table(s, d, "embeddings").withColumnRenamed("vec_id", "id")
+    items = table(s, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("text")).join(vectors, "id")
+    near = search.vector_search(vectors, _queries(vectors), 200).join(items.select("id"), "id", "left_semi").join(items.select(F.col("id").alias("query")), "query", "left_semi")
+    return search.fused_search(20, search.lexical_search(items, _queries(items), 100), near)
 
 
 _OBS = """o AS (SELECT source_id AS grp, capture_id, captured_at, period, asset_id, name, nullif(lower(trim(phase_code)), '') AS phase, list_sort(list_distinct(coalesce(partners, []))) AS partners

@@ -139,10 +139,10 @@ def _with_text(s: SparkSession, d: str, rows: DataFrame, q: str) -> DataFrame:
 @query(f"""{_NOW}, hits AS (SELECT * FROM base WHERE status <> 'discontinued' AND {_TEXT_HIT.format(q='cancer')}), n AS (SELECT count(*) AS total FROM hits)
 SELECT total, {_PAGE} FROM (SELECT * FROM hits ORDER BY sort_order DESC NULLS LAST, asset_name, company_id, asset, indication LIMIT 25 OFFSET 10), n""")
 def program_search_page(s: SparkSession, d: str) -> DataFrame:
-    """Faceted search with its total and one page; the total is counted in the same plan."""
+    """Faceted search with its total and one page."""
     hits = _with_text(s, d, search.faceted(program_base(s, d), {}, active_only=True), "cancer")
     page = hits.orderBy(F.desc_nulls_last("sort_order"), "asset_name", *GOLD_KEYS).offset(10).limit(25)
-    return page.join(F.broadcast(hits.agg(F.count(F.lit(1)).alias("total")))).select("total", *_PAGE.split(", "))  # one row
+    return page.select(F.lit(hits.count()).cast("long").alias("total"), *_PAGE.split(", "))
 
 
 @query(f"""{_NOW} SELECT total, {_PAGE}, place FROM (SELECT *, count(*) OVER () AS total, row_number() OVER (ORDER BY CASE phase_code WHEN 'discontinued' THEN 0 ELSE coalesce(sort_order, -1) END DESC, asset_name, company_id, asset, indication) AS place FROM base) WHERE place <= 50""")
@@ -153,7 +153,7 @@ def structured_browse(s: SparkSession, d: str) -> DataFrame:
     order = [F.desc("rank"), F.col("asset_name"), *[F.col(k) for k in GOLD_KEYS]]
     top = base.withColumn("rank", rank).orderBy(*order).limit(50)
     placed = top.withColumn("place", F.row_number().over(Window.orderBy(*order)))  # of 50 rows
-    return placed.join(F.broadcast(base.agg(F.count(F.lit(1)).alias("total")))).select("total", *_PAGE.split(", "), "place")
+    return placed.select(F.lit(base.count()).cast("long").alias("total"), *_PAGE.split(", "), "place")
 
 
 @query(f"""{_NOW} SELECT {_PAGE} FROM base WHERE asset IN (SELECT {_KEY.format(c='preferred_name')} FROM a WHERE target_verbatim ILIKE '%SYG1%' OR mechanism_verbatim ILIKE '%SYG1%' OR len(list_filter(synonyms, lambda x: x ILIKE '%SYG1%')) > 0) AND status <> 'discontinued'""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.functions.text import content_hash
@@ -35,3 +35,24 @@ def append_snapshots(marked: DataFrame, folder: str) -> None:
 def rebuild_partitions(df: DataFrame, folder: str, by: str) -> None:
     """Replace the partitions that ``df`` holds, leave the others: an idempotent rebuild."""
     df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(folder)
+
+
+def _path(spark: SparkSession, path: str) -> tuple[object, object]:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def put_artifact(spark: SparkSession, path: str, content: bytes) -> None:
+    """Store the bytes of one artifact under a path of any file system the session knows."""
+    fs, at = _path(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def get_artifacts(spark: SparkSession, path: str) -> DataFrame:
+    """path, content of the artifacts of a folder."""
+    return spark.read.format("binaryFile").load(path).select("path", "content")

@@ -30,7 +30,7 @@ def test_against_brute_force_with_a_hot_key(spark, day, rows_per_slice):
         start = rnd.randrange(2000)
         versions.append((i, *rnd.choice(keys), day(0, start), None if rnd.random() < 0.3 else day(0, start + rnd.choice([0, 1, 20, 300, 1500])), day(0, start + rnd.choice([0, 0, 5, 400]))))
     expected = brute(events, versions)
-    got = known_at_event(spark.createDataFrame(events + events[:50], EV), spark.createDataFrame(versions + versions[:50], VS), KEYS, rows_per_slice=rows_per_slice, rows_per_bucket=60)
+    got = known_at_event(spark.createDataFrame(events + events[:50], EV), spark.createDataFrame(versions + versions[:50], VS), KEYS, rows_per_slice=rows_per_slice, buckets=7)
     assert sorted(map(tuple, got.collect())) == expected
 
 
