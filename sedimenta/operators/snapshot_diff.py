@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions.text import stripped
 from sedimenta.operators.ordered import neighbour, with_blocks
+from sedimenta.session import cut
 
 LEAF_BITS = 12
 FAN_BITS = 6
@@ -38,14 +39,15 @@ def _differing(df: DataFrame) -> DataFrame:
 
 
 def consecutive_captures(rows: DataFrame) -> DataFrame:
-    """capture_id, prev_id of every capture that holds a keyed row; prev_id null for a source's first."""
-    caps = rows.groupBy("capture_id").agg(
-        F.min("source_id").alias("source_id"), F.min("captured_at").alias("captured_at")
-    )
-    caps = with_blocks(caps, ["source_id"], "captured_at")
-    return neighbour(
-        caps, ["source_id"], ["captured_at", "capture_id"], F.col("capture_id"), "prev_id"
-    ).select("capture_id", "prev_id")
+    """capture_id, prev_id of every capture that holds a keyed row and isn't its source's first.
+
+    Of the rows only what names a capture is read; the result is kept, as it is
+    used on every level and has one row per capture.
+    """
+    caps = cut(rows.groupBy("capture_id").agg(F.min("source_id").alias("source_id"), F.min("captured_at").alias("captured_at")))
+    placed = with_blocks(caps, ["source_id"], "captured_at")
+    pairs = neighbour(placed, ["source_id"], ["captured_at", "capture_id"], F.col("capture_id"), "prev_id")
+    return cut(pairs.where(F.col("prev_id").isNotNull()).select("capture_id", "prev_id"))
 
 
 def snapshot_changes(snapshots: DataFrame) -> DataFrame:
@@ -98,8 +100,8 @@ def snapshot_changes(snapshots: DataFrame) -> DataFrame:
         )
         .transform(lambda df: _digests(df, "capture_id", "leaf"))
     )
-    pairs = consecutive_captures(rows).where(F.col("prev_id").isNotNull())
-    sides = pairs.select(
+    nodes = _digests(leaves.withColumn("node", F.shiftright("leaf", LEAF_BITS - FAN_BITS)), "capture_id", "node")
+    sides = consecutive_captures(rows).select(
         F.col("capture_id").alias("pair"),
         F.explode(
             F.array(
@@ -107,15 +109,17 @@ def snapshot_changes(snapshots: DataFrame) -> DataFrame:
                 F.struct(F.col("prev_id").alias("cap"), F.lit(-1).alias("sign")),
             )
         ).alias("x"),
-    ).select("pair", F.col("x.cap").alias("cap"), F.col("x.sign").alias("sign"))
-    both = leaves.join(sides, leaves["capture_id"] == sides["cap"]).select(
-        "pair", "cap", "sign", "leaf", F.shiftright("leaf", LEAF_BITS - FAN_BITS).alias("node"), "d1", "d2",
-        (F.col("n") * F.col("sign")).alias("n"),
-    )
-    roots = _differing(_digests(both, "pair")).select("pair")
-    nodes = _differing(_digests(both.join(roots, "pair", "left_semi"), "pair", "node")).select("pair", "node")
-    dirty = _differing(_digests(both.join(nodes, ["pair", "node"], "left_semi"), "pair", "leaf")).select("pair", "leaf")
-    wanted = dirty.join(sides, "pair").select("pair", F.col("cap").alias("capture_id"), "leaf", "sign")
+    ).select("pair", F.col("x.cap").alias("capture_id"), F.col("x.sign").alias("sign"))
+    signed = lambda df: df.withColumn("n", F.col("n") * F.col("sign"))
+    # Each level is built of the one below and met only where the level above differs.
+    roots = _digests(nodes, "capture_id")
+    changed = _differing(_digests(signed(sides.join(roots, "capture_id")), "pair")).select("pair")
+    met = signed(sides.join(changed, "pair", "left_semi").join(nodes, "capture_id"))
+    dirty_nodes = _differing(_digests(met, "pair", "node")).select("pair", "node")
+    below = sides.join(dirty_nodes, "pair")
+    met = signed(leaves.withColumn("node", F.shiftright("leaf", LEAF_BITS - FAN_BITS)).join(below, ["capture_id", "node"]))
+    dirty = _differing(_digests(met, "pair", "leaf")).select("pair", "leaf")
+    wanted = dirty.join(sides, "pair").select("pair", "capture_id", "leaf", "sign")
     touched = current.join(wanted, ["capture_id", "leaf"])
     side = lambda s: F.max(F.when(F.col("sign") == s, F.struct("phase", "partners")))
     met = touched.groupBy("pair", "asset_id").agg(side(1).alias("b"), side(-1).alias("a"))
