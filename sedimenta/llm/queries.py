@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +13,8 @@ from sedimenta.llm.lexicon import PHRASES
 from sedimenta.llm.mixing import drawn, share_report
 from sedimenta.llm.names import banding_recall, name_clusters, variant_pairs
 from sedimenta.llm.packing import packed, room_report
-from sedimenta.llm.subjects import makeup, subject_shares
-from sedimenta.llm.tokens import with_token_counts
+from sedimenta.llm.subjects import Scorer, makeup, mine_rules, subject_shares
+from sedimenta.llm.tokens import count_tokens, with_token_counts
 from sedimenta.llm.vocabulary import mapped_verbatims, misses
 from sedimenta.session import cut, table
 
@@ -71,11 +74,17 @@ def p8_room(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _described(spark: SparkSession, d: str) -> DataFrame:
-    """doc_id, source, lang, topic, tokens of all documents, once."""
+    """doc_id, source, lang, topic (the main area), tokens of all documents; every text is read once."""
     documents = table(spark, d, "documents")
-    sizes = with_token_counts(documents, "doc_id long, source string, lang string")
-    topics = subject_shares(documents, table(spark, d, "subject_label")).where(F.col("place") == 0).select("doc_id", F.col("area").alias("topic"))
-    return cut(sizes.join(topics, "doc_id", "left"))
+    rules = mine_rules(documents, table(spark, d, "subject_label"))
+
+    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(rules)
+        for batch in batches:
+            topics = [scorer.areas(t)[0][0] for t in batch["text"]]
+            yield batch.drop(columns="text").assign(topic=topics, tokens=[count_tokens(t) for t in batch["text"]])
+
+    return cut(documents.select("doc_id", "source", "lang", "text").mapInPandas(describe, "doc_id long, source string, lang string, topic string, tokens long"))
 
 
 def p9_drawn(spark: SparkSession, d: str) -> DataFrame:

@@ -47,6 +47,7 @@ MIN_AREA_SHARE = 0.2
 OTHER = "other"
 
 _BROKEN = re.compile("[ÂÃ].")
+_FOREIGN = re.compile(r"[^\x00-\x7f]")
 _TAGS = re.compile(r"<[^>]{1,200}>")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+|(?<=\|)\s{2,}")
 _WORD = re.compile(r"[^\W\d_][^\W\d_']+")
@@ -61,20 +62,29 @@ def _mended(match: re.Match) -> str:
     return match[0]
 
 
-def sentence_items(text: str | None) -> list[set[str]]:
-    """Words and pairs of neighbouring words of every sentence of the whole text."""
+def sentence_words(text: str | None) -> Iterator[list[str]]:
+    """The words of every sentence of the whole text."""
     if not text:
-        return []
-    text = _TAGS.sub(" ", html.unescape(_BROKEN.sub(_mended, text)))
-    text = unicodedata.normalize("NFKD", text.lower())
-    text = "".join(c for c in text if not unicodedata.combining(c))
-    out = []
+        return
+    # Most texts need few of these steps; each is skipped where it can change nothing.
+    if not text.isascii():
+        text = _BROKEN.sub(_mended, text)
+    if "&" in text:
+        text = html.unescape(text)
+    if "<" in text:
+        text = _TAGS.sub(" ", text)
+    text = text.lower()
+    if not text.isascii():
+        text = _FOREIGN.sub(lambda m: "" if unicodedata.combining(m[0]) else m[0], unicodedata.normalize("NFKD", text))
     for sentence in _SENTENCE.split(text):
         found = _WORD.findall(sentence)
         for start in range(0, len(found), MAX_WORDS):
-            words = found[start : start + MAX_WORDS]
-            out.append({*words, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))})
-    return out
+            yield found[start : start + MAX_WORDS]
+
+
+def sentence_items(text: str | None) -> list[set[str]]:
+    """Words and pairs of neighbouring words of every sentence."""
+    return [{*words, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))} for words in sentence_words(text)]
 
 
 def _bound(k: Column, n: Column) -> Column:
@@ -215,6 +225,20 @@ class Scorer:
                 self.single.setdefault(items[0], []).append((area, weight))
             else:
                 self.several.setdefault(items[0], []).append((frozenset(items), area, weight))
+        #: All that rules speak of; a sentence's other words and pairs decide nothing.
+        self.words = {i for items in rules["items"] for i in items if " " not in i}
+        self.after: dict[str, set[str]] = {}
+        for pair in {i for items in rules["items"] for i in items if " " in i}:
+            first, second = pair.split(" ")
+            self.after.setdefault(first, set()).add(second)
+
+    def items(self, words: list[str]) -> set[str]:
+        """The words and pairs of a sentence that rules speak of."""
+        found = self.words.intersection(words)
+        for i, a in enumerate(words[:-1]):
+            if a in self.after and words[i + 1] in self.after[a]:
+                found.add(f"{a} {words[i + 1]}")
+        return found
 
     def area(self, items: set[str]) -> str | None:
         """The area with the most evidence in a sentence; None without evidence or for OTHER."""
@@ -230,11 +254,16 @@ class Scorer:
         best = min(evidence, key=lambda a: (-evidence[a], a))
         return None if best == OTHER else best
 
+    def areas(self, text: str | None) -> list[tuple[str, float]]:
+        """The areas a text deals with and their shares, the largest first; OTHER alone if there is none."""
+        found = {a: s for a, s in self.shares(text).items() if s >= MIN_AREA_SHARE} or {OTHER: 1.0}
+        return sorted(found.items(), key=lambda x: (-x[1], x[0]))
+
     def shares(self, text: str | None) -> dict[str, float]:
         """Shares of the areas in the subject-bearing sentences of a text."""
         counts: dict[str, int] = {}
-        for items in sentence_items(text):
-            if area := self.area(items):
+        for words in sentence_words(text):
+            if area := self.area(self.items(words)):
                 counts[area] = counts.get(area, 0) + 1
         total = sum(counts.values())
         return {a: n / total for a, n in counts.items()}
@@ -255,9 +284,7 @@ def subject_shares(documents: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                shares = {a: s for a, s in scorer.shares(text).items() if s >= MIN_AREA_SHARE} or {OTHER: 1.0}
-                ordered = sorted(shares.items(), key=lambda x: (-x[1], x[0]))
-                out += [(doc, a, s, i) for i, (a, s) in enumerate(ordered)]
+                out += [(doc, a, s, i) for i, (a, s) in enumerate(scorer.areas(text))]
             yield pd.DataFrame(out, columns=["doc_id", "area", "share", "place"])
 
     rows = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
