@@ -92,6 +92,14 @@ def cards(html: Column, block: str, name: str, indication: str, phase: str, note
     return F.filter(read, lambda c: (c["name"] != "") & (c["indication"] != "") & (c["phase"] != ""))
 
 
+def merged_config(wait_ms: Column, selectors: Column, general: list[str], least_wait: int = 3_500) -> Column:
+    """struct(wait_ms, full_page, selectors) of a page that is rendered again: waits no shorter, own selectors first, none twice."""
+    known = F.coalesce(selectors, F.array().cast("array<string>"))
+    return F.struct(
+        F.greatest(F.coalesce(wait_ms, F.lit(2_000)), F.lit(least_wait)).alias("wait_ms"), F.lit(True).alias("full_page"), F.array_union(known, F.array(*[F.lit(g) for g in general])).alias("selectors")
+    )
+
+
 def render_decision(status: Column, text: Column, images: Column, fallback: bool = True) -> Column:
     """keep, fallback (blocked, failed or without evidence) or give_up of a rendered page."""
     poor = (phase_hits(text) < 3) & ~images

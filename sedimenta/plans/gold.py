@@ -488,3 +488,57 @@ def company_reset(s: SparkSession, d: str) -> DataFrame:
     ]
     counts = [df.agg(F.count(F.lit(1)).alias("left_over")).select(F.lit(n).alias("relation"), "left_over") for n, df in parts]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+# ---- get or create, neighbours at a time, rebuilds ----
+
+
+@query(f"""WITH {_ALIAS}, n AS (SELECT DISTINCT preferred_name AS name FROM expected_asset WHERE preferred_name IS NOT NULL), low AS (SELECT lower(trim(name)) AS k, min(id) AS id FROM al GROUP BY 1),
+r AS (SELECT n.name, {_KEY.format(c='n.name')} AS key, coalesce(al.id, low.id) AS id FROM n LEFT JOIN al USING (name) LEFT JOIN low ON low.k = lower(trim(n.name)))
+SELECT name, CASE WHEN id IS NOT NULL THEN id::VARCHAR ELSE 'new-' || sha256(CASE WHEN key = '' THEN name ELSE key END) END AS asset_id, id IS NULL AS created FROM r""")
+def resolved_or_created(s: SparkSession, d: str) -> DataFrame:
+    """Each name's asset: a known one, else a new one whose id follows from the name's key, so that loading again makes the same."""
+    said = table(s, d, "curated_aliases").select(F.explode(F.concat(F.coalesce("members", F.array().cast("array<string>")), F.array("canonical"))).alias("name"), F.col("alias_row_id").alias("asset_id")).where(F.col("name").isNotNull())
+    names = table(s, d, "expected_asset").select(F.col("preferred_name").alias("name")).where(F.col("name").isNotNull()).distinct()
+    exact = said.groupBy("name").agg(F.min("asset_id").alias("_a"))
+    low = said.groupBy(F.lower(tx.stripped(F.col("name"))).alias("_k")).agg(F.min("asset_id").alias("_b"))
+    rows = names.join(exact, "name", "left").join(low, F.lower(tx.stripped(F.col("name"))) == F.col("_k"), "left").withColumn("id", F.coalesce("_a", "_b"))
+    key = tx.name_key(F.col("name"))
+    new = F.concat(F.lit("new-"), F.sha2(F.when(key == "", F.col("name")).otherwise(key), 256))
+    return rows.select("name", F.coalesce(F.col("id").cast("string"), new).alias("asset_id"), F.col("id").isNull().alias("created"))
+
+
+@query("""WITH w AS (SELECT DISTINCT trim(n) AS name FROM (SELECT unnest(['GERMANY', 'Atlantis ', 'FRANCE', 'atlantis', '']) AS n) WHERE trim(n) <> ''), k AS (SELECT lower(name) AS k, min(name) AS name FROM w GROUP BY 1)
+SELECT k.name, n_nationkey AS key, CASE WHEN n_nationkey IS NULL THEN 'created' ELSE 'found' END AS outcome FROM k LEFT JOIN nation ON lower(n_name) = k""")
+def onboarded(s: SparkSession, d: str) -> DataFrame:
+    """A list of names put in: those known are found, the others created once."""
+    asked = s.createDataFrame([("GERMANY",), ("Atlantis ",), ("FRANCE",), ("atlantis",), ("",)], "name string").select(F.trim("name").alias("name")).where(F.col("name") != "")
+    once = asked.groupBy(F.lower("name").alias("k")).agg(F.min("name").alias("name"))
+    known = table(s, d, "nation").select(F.lower("n_name").alias("k"), F.col("n_nationkey").alias("key"))
+    return once.join(known, "k", "left").select("name", "key", F.when(F.col("key").isNull(), "created").otherwise("found").alias("outcome"))
+
+
+@query("""WITH b AS (SELECT program_id AS member, min(born_on) AS born_on FROM program_born_on GROUP BY 1), ti AS (SELECT DISTINCT program_id AS member, company_id AS key FROM program_indication), ii AS (SELECT DISTINCT program_id AS member, indication_id AS key FROM program_indication),
+me AS (SELECT min(program_id) AS node FROM program_indication),
+m AS (SELECT DISTINCT member FROM ti, me WHERE key IN (SELECT key FROM ti, me WHERE member = node) AND member <> node),
+c AS (SELECT DISTINCT member FROM ii, me WHERE key IN (SELECT key FROM ii, me WHERE member = node) AND member <> node AND member NOT IN (SELECT member FROM m)),
+e AS (SELECT member, 'mechanism' AS kind, 1.0::DOUBLE AS weight FROM m UNION ALL SELECT member, 'competitive', 0.7 FROM c)
+SELECT e.member, e.kind, e.weight FROM e LEFT JOIN b USING (member), (SELECT born_on FROM b, me WHERE member = node) o WHERE greatest(b.born_on, o.born_on) <= TIMESTAMP '2021-12-31'""")
+def related_as_of(s: SparkSession, d: str) -> DataFrame:
+    """The neighbours of a program that were there at a time."""
+    from sedimenta.plans.catalogue import related_programs
+
+    return related_programs(s, d).where(F.col("born_on") <= F.lit("2021-12-31").cast("timestamp_ntz")).select("member", "kind", "weight")
+
+
+@query("""SELECT company_id, type, count(*) AS n FROM (SELECT DISTINCT * FROM change_event WHERE company_id IS NOT NULL) GROUP BY 1, 2""")
+def rebuilt_feed(s: SparkSession, d: str) -> DataFrame:
+    """Derived events written by company, then rebuilt for some companies: what is read has each once."""
+    from sedimenta.plans.pages import _shared
+    from sedimenta.sources.snapshots import rebuild_partitions
+
+    folder = f"{_shared(s)}/feed"
+    events = table(s, d, "change_event").where(F.col("company_id").isNotNull()).distinct()
+    rebuild_partitions(events, folder, "company_id")
+    rebuild_partitions(events.where(F.col("company_id") > "CO000001020"), folder, "company_id")
+    return s.read.parquet(folder).groupBy(F.col("company_id").cast("string").alias("company_id"), "type").agg(F.count(F.lit(1)).alias("n"))

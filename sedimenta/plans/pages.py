@@ -362,3 +362,37 @@ def hybrid_search(s: SparkSession, d: str) -> DataFrame:
     lexical = search.lexical_search(items, wanted.select("id", F.lit("cancer of the lung").alias("text")), 100)
     near = search.vector_search(vectors.join(items.select("id"), "id", "left_semi"), wanted, 200)
     return search.fused_search(20, lexical, near).join(items, "id").select("query", "id", "score", "program_id", "phase", "status", "place")
+
+
+@query("""SELECT '{"r_regionkey":' || r_regionkey || ',"r_name":"' || r_name || '"}' AS line FROM region""")
+def json_rows(s: SparkSession, d: str) -> DataFrame:
+    """Rows as JSON documents, as an interface hands them out."""
+    return table(s, d, "region").select(F.to_json(F.struct("r_regionkey", "r_name")).alias("line"))
+
+
+@query("""SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def published_view(s: SparkSession, d: str) -> DataFrame:
+    """A relation published under a name, dropped and made anew, and read through SQL."""
+    joined = table(s, d, "nation").join(table(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    snapshots.publish({"published_nation": joined.select("n_name", "r_name")})
+    return s.sql("SELECT n_name, r_name FROM published_nation")
+
+
+@query("""SELECT c_custkey, greatest(coalesce(c_nationkey * 200, 2000), 3500) AS wait_ms, true AS full_page,
+list_concat(['#x' || c_nationkey % 3], list_filter(['#x0', '.more', '#x1'], lambda y: y <> '#x' || c_nationkey % 3)) AS selectors FROM customer""")
+def merged_configs(s: SparkSession, d: str) -> DataFrame:
+    """A site's settings with the general ones: longer waits, own selectors first, none twice."""
+    own = F.array(F.concat(F.lit("#x"), (F.col("c_nationkey") % 3).cast("string")))
+    merged = web.merged_config(F.col("c_nationkey") * 200, own, ["#x0", ".more", "#x1"])
+    return table(s, d, "customer").select("c_custkey", merged.alias("m")).select("c_custkey", "m.*")
+
+
+@query(f"""WITH x AS (SELECT source, doc_id, text, {_HITS} AS hits, CASE WHEN doc_id % 2 = 0 THEN 0 ELSE 1 END AS via, CASE WHEN source LIKE '%pipeline%' THEN 100 ELSE 0 END + CASE WHEN doc_id % 5 = 0 THEN 20 ELSE 0 END AS score,
+ doc_id % 4 = 1 AS news, lower(coalesce(text, '')) AS low FROM documents)
+SELECT source, doc_id, via, score FROM x WHERE NOT news AND NOT regexp_matches(low, '{web.PRESS_MARKERS}') AND hits >= 3 QUALIFY row_number() OVER (PARTITION BY source ORDER BY via, score DESC, doc_id) = 1""")
+def source_cascade(s: SparkSession, d: str) -> DataFrame:
+    """The page taken for each source: of the search's results, then of the map's, the best scored that is a valid page."""
+    pages = table(s, d, "documents").withColumn("via", (F.col("doc_id") % 2).cast("int")).where(F.col("doc_id") % 4 != 1)
+    url = F.concat(F.lit("https://e.org/"), F.when(F.col("source").contains("pipeline"), "pipeline").otherwise("page"), F.when(F.col("doc_id") % 5 == 0, "/research").otherwise(""))
+    valid = pages.where(web.is_pipeline_page(F.lit(200), F.col("text"), F.lit(False))).withColumn("score", web.link_score(url, F.lit(None).cast("string")))
+    return identity.first_per_key(valid.select("source", "doc_id", "via", "score"), ["source"], "via", F.desc("score"), "doc_id")

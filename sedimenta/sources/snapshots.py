@@ -56,3 +56,9 @@ def put_artifact(spark: SparkSession, path: str, content: bytes) -> None:
 def get_artifacts(spark: SparkSession, path: str) -> DataFrame:
     """path, content of the artifacts of a folder."""
     return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
+def publish(relations: dict[str, DataFrame]) -> None:
+    """Relations under their names in the session, replacing those of the same names; a later one may read an earlier one."""
+    for name, df in relations.items():
+        df.createOrReplaceTempView(name)
