@@ -76,9 +76,13 @@ def spaced(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, WHITE, " "))
 
 
+#: The same, one by one.
+WHITE_CHARACTERS = " \t\n\x0b\x0c\r\u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def stripped(text: Column) -> Column:
-    """White space of any script off both ends."""
-    return F.regexp_replace(text, f"^{WHITE}|{WHITE}$", "")
+    """White space of any script off both ends, without a pattern for every row."""
+    return F.btrim(text, F.lit(WHITE_CHARACTERS))
 
 
 def preclean(verbatim: Column) -> Column:
