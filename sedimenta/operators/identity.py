@@ -10,10 +10,18 @@ from pyspark.sql import functions as F
 from sedimenta.functions.text import name_key
 
 
+#: Parts of a key's rows that are searched for their first apart, so that a key of any size is no one's task.
+SALTS = 64
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], *order) -> DataFrame:
-    """The first row of each key in ``order``, which should end in a unique column."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """The first row of each key in ``order``, which should end in a unique column.
+
+    Each of SALTS parts of a key finds its first, then the key the first of those.
+    """
+    first = lambda rows, by: rows.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_n = 1").drop("_n")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c, t in df.dtypes if not t.startswith("map")]), F.lit(SALTS)))
+    return first(first(salted, [*keys, "_salt"]), keys).drop("_salt")
 
 
 def resolved(names: DataFrame, aliases: DataFrame, synonyms: DataFrame) -> DataFrame:

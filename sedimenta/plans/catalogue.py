@@ -221,7 +221,7 @@ _AREAS = " ".join(f"WHEN regexp_matches(t, '{p}', 'i') THEN '{label}'" for label
 @query(f"""WITH x AS (SELECT DISTINCT v.indication_id, v.indication_verbatim AS verbatim, concat_ws(' ', e.label, v.indication_verbatim) AS t FROM program_indication v LEFT JOIN vocab_entry e ON e.vocab = 'indication' AND e.code = v.indication_id)
 SELECT indication_id, verbatim, CASE {_AREAS} ELSE '{tx.AREA_OTHER}' END AS area FROM x""")
 def therapeutic_areas(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "program_indication").select("indication_id", F.col("indication_verbatim").alias("verbatim")).distinct().join(F.broadcast(_indications(s, d)), "indication_id", "left")
+    rows = table(s, d, "program_indication").select("indication_id", F.col("indication_verbatim").alias("verbatim")).distinct().join(_indications(s, d), "indication_id", "left")
     return rows.select("indication_id", "verbatim", tx.therapeutic_area(F.col("indication"), F.col("verbatim")).alias("area"))
 
 
@@ -246,7 +246,7 @@ def vocabulary_lookup(s: SparkSession, d: str) -> DataFrame:
     said = table(s, d, "expected_asset").select(F.explode("programs.phase_verbatim").alias("v"))
     core = said.select(tx.preclean(F.col("v")).alias("core")).where(F.col("core") != "").distinct()
     words = _vocab(s, d, "phase").select("code", F.explode(F.concat("aliases", F.array("label"))).alias("a")).select("code", F.lower("a").alias("alias"))
-    return core.join(F.broadcast(words), core["core"] == words["alias"], "left").groupBy("core").agg(F.min("code").alias("code"))
+    return core.join(words, core["core"] == words["alias"], "left").groupBy("core").agg(F.min("code").alias("code"))
 
 
 @query("""WITH p AS (SELECT unnest(programs, recursive := true) FROM expected_asset), x AS (SELECT DISTINCT status, phase_verbatim, lower(coalesce(status, '') || ' ' || coalesce(phase_verbatim, '')) AS t FROM p)
@@ -614,9 +614,10 @@ def carried_forward(s: SparkSession, d: str) -> DataFrame:
     """Assets per source and quarter from its first on, quarters without a capture carrying the last count."""
     rows = table(s, d, "capture_asset").where(F.col("asset_id").isNotNull())
     counts = rows.groupBy("source_id", F.date_trunc("quarter", "captured_at").cast("timestamp_ntz").alias("quarter")).agg(F.countDistinct("asset_id").alias("assets"))
-    quarters = counts.select(F.col("quarter").alias("q")).distinct()  # as many as the years have
     first = counts.groupBy("source_id").agg(F.min("quarter").alias("first"))
-    grid = first.join(F.broadcast(quarters), F.col("q") >= F.col("first")).select("source_id", F.col("q").alias("quarter"))
+    last = F.lit(counts.agg(F.max("quarter")).first()[0]).cast("timestamp_ntz")
+    seen = counts.select("quarter").distinct()  # as many as the years have
+    grid = first.select("source_id", F.explode(F.sequence("first", last, F.expr("INTERVAL 3 MONTHS"))).alias("quarter")).join(seen, "quarter", "left_semi")
     w = Window.partitionBy("source_id").orderBy("quarter")
     return grid.join(counts, ["source_id", "quarter"], "left").select("source_id", "quarter", F.col("assets").isNotNull().alias("observed"), F.last("assets", ignorenulls=True).over(w).alias("assets"))
 

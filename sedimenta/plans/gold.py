@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sedimenta.functions import text as tx
 from sedimenta.operators import graph, history, identity, search
 from sedimenta.plans.catalogue import _KEY, _PRECLEAN, _PROGRAM, _phases, _programs, _vocab, query
-from sedimenta.session import table
+from sedimenta.session import cut, table
 
 AT = "2022-06-30 00:00:00"
 GOLD_KEYS = ["company_id", "asset", "indication"]
@@ -46,10 +46,10 @@ ver AS (SELECT company_id, asset, indication, phase_code, status, captured_at AS
 
 
 def _observed(s: SparkSession, d: str) -> DataFrame:
-    """One observation per program and time, the one loaded last."""
+    """One observation per program and time, the one loaded last; kept, as histories and what was last seen both need it."""
     said = ["preferred_name", "phase_code", "status", "indication_verbatim", "phase_verbatim", "snapshot_id"]
     last = F.max_by(F.struct(*said), F.struct("loaded_at", "expected_id", "pos"))
-    return gold_rows(s, d).where(F.col("captured_at").isNotNull()).groupBy(*GOLD_KEYS, "captured_at").agg(last.alias("m")).select(*GOLD_KEYS, "captured_at", "m.*")
+    return gold_rows(s, d).where(F.col("captured_at").isNotNull()).groupBy(*GOLD_KEYS, "captured_at").agg(last.alias("m")).select(*GOLD_KEYS, "captured_at", "m.*").transform(cut)
 
 
 @query(f"WITH {_GOLD} SELECT * FROM ver")

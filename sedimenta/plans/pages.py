@@ -332,7 +332,7 @@ SELECT c_custkey, known FROM customer JOIN t ON c_name = name WHERE known IS NOT
 def trusted_counts(s: SparkSession, d: str) -> DataFrame:
     """Trusted counts put beside the sources of the companies they name."""
     trusted = s.createDataFrame([("Customer#000000007", 12), ("Customer#000000009", None), ("nobody", 4)], "c_name string, known int")
-    return table(s, d, "customer").where(F.col("c_acctbal").isNotNull()).join(F.broadcast(trusted.where(F.col("known").isNotNull())), "c_name").select("c_custkey", "known")
+    return table(s, d, "customer").where(F.col("c_acctbal").isNotNull()).join(trusted.where(F.col("known").isNotNull()), "c_name").select("c_custkey", "known")
 
 
 @query("""WITH items AS (SELECT version_id AS id, program_id, indication_verbatim AS text, indication_id, company_id, phase, status FROM (SELECT DISTINCT * FROM program_indication)
