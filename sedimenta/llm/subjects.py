@@ -104,7 +104,7 @@ def agreed_labels(labels: DataFrame) -> DataFrame:
     of_doc = said.groupBy("doc_id").agg(F.countDistinct("annotator").alias("_all"))
     return (
         said.groupBy("doc_id", "area").agg(F.count(F.lit(1)).alias("_n")).join(of_doc, "doc_id").where(2 * F.col("_n") > F.col("_all"))
-        .groupBy("doc_id").agg(F.array_sort(F.collect_set("area")).alias("areas"))
+        .groupBy("doc_id").agg(F.sort_array(F.collect_set("area")).alias("areas"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(MAX_LABELLED)
     )
