@@ -77,7 +77,7 @@ def snapshot_changes(snapshots: DataFrame) -> DataFrame:
             "asset_id",
             "loaded_at",
             _blank_to_null(F.col("phase_code")).alias("phase"),
-            F.array_sort(
+            F.sort_array(
                 F.array_distinct(F.array_compact(F.coalesce("partners", F.array().cast("array<string>"))))
             ).alias("partners"),
             F.shiftrightunsigned(F.xxhash64("asset_id"), 64 - LEAF_BITS).cast("int").alias("leaf"),

@@ -161,7 +161,7 @@ def latest_capture(s: SparkSession, d: str) -> DataFrame:
 SELECT capture_id, asset_id, string_agg(p, '; ' ORDER BY p) AS partners, count(*) AS n FROM r WHERE p IS NOT NULL GROUP BY 1, 2""")
 def partner_sets(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "capture_asset").where(F.col("asset_id").isNotNull()).select("capture_id", "asset_id", F.explode("partners").alias("p")).where(F.col("p").isNotNull())
-    sets = rows.groupBy("capture_id", "asset_id").agg(F.array_sort(F.collect_set("p")).alias("s"))
+    sets = rows.groupBy("capture_id", "asset_id").agg(F.sort_array(F.collect_set("p")).alias("s"))
     return sets.select("capture_id", "asset_id", F.array_join("s", "; ").alias("partners"), F.size("s").cast("long").alias("n"))
 
 
@@ -646,7 +646,7 @@ FROM prog WHERE valid_to IS NULL AND status <> 'discontinued' GROUP BY 1, 2""")
 def company_detail(s: SparkSession, d: str) -> DataFrame:
     current = search.faceted(_programs(s, d).where(F.col("valid_to").isNull()), {}, active_only=True)
     return current.groupBy("company_id", F.coalesce("phase_label", F.lit("unmapped")).alias("phase")).agg(
-        F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("indication")), "; ").alias("indications"), F.bool_or(F.col("status") == "active").alias("any_active")
+        F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_set("indication")), "; ").alias("indications"), F.bool_or(F.col("status") == "active").alias("any_active")
     )
 
 

@@ -68,7 +68,7 @@ def asset_dimension(s: SparkSession, d: str) -> DataFrame:
     a = table(s, d, "expected_asset").where(F.col("preferred_name").isNotNull()).withColumn("asset", tx.name_key(F.col("preferred_name")))
     given = lambda c: F.min_by(c, F.when(F.col(c) != "", F.col("expected_id"))).alias(c)
     target = F.when(F.col("target_verbatim") != "", F.upper("target_verbatim"))
-    found = F.array_join(F.array_sort(F.collect_set(target)), ", ")
+    found = F.array_join(F.sort_array(F.collect_set(target)), ", ")
     return a.groupBy("asset").agg(
         F.min("preferred_name").alias("asset_name"), given("modality_verbatim"), given("mechanism_verbatim"), F.when(F.count(target) > 0, found).alias("target_symbols"), F.max(F.when(target.isNotNull(), "disclosed")).alias("target_source")
     )
@@ -140,7 +140,7 @@ def _with_text(s: SparkSession, d: str, rows: DataFrame, q: str) -> DataFrame:
 SELECT total, {_PAGE} FROM (SELECT * FROM hits ORDER BY sort_order DESC NULLS LAST, asset_name, company_id, asset, indication LIMIT 25 OFFSET 10), n""")
 def program_search_page(s: SparkSession, d: str) -> DataFrame:
     """Faceted search with its total and one page."""
-    hits = _with_text(s, d, search.faceted(program_base(s, d), {}, active_only=True), "cancer")
+    hits = cut(_with_text(s, d, search.faceted(program_base(s, d), {}, active_only=True), "cancer").select("sort_order", *_PAGE.split(", ")))
     page = hits.orderBy(F.desc_nulls_last("sort_order"), "asset_name", *GOLD_KEYS).offset(10).limit(25)
     return page.select(F.lit(hits.count()).cast("long").alias("total"), *_PAGE.split(", "))
 
@@ -149,7 +149,7 @@ def program_search_page(s: SparkSession, d: str) -> DataFrame:
 def structured_browse(s: SparkSession, d: str) -> DataFrame:
     """Programs without a query text: by phase (discontinued last but for none), name and key."""
     rank = F.when(F.col("phase_code") == "discontinued", 0).otherwise(F.coalesce("sort_order", F.lit(-1)))
-    base = program_base(s, d)
+    base = cut(program_base(s, d).select("sort_order", *_PAGE.split(", ")))
     order = [F.desc("rank"), F.col("asset_name"), *[F.col(k) for k in GOLD_KEYS]]
     top = base.withColumn("rank", rank).orderBy(*order).limit(50)
     placed = top.withColumn("place", F.row_number().over(Window.orderBy(*order)))  # of 50 rows
@@ -235,7 +235,7 @@ cl AS (SELECT class, any_value(inds) AS inds, any_value(comps) AS comps, count(*
 
 def _classes(s: SparkSession, d: str) -> DataFrame:
     """program_id, class: programs of the same indications and companies are one class."""
-    sets = table(s, d, "program_indication").where(F.col("program_id").isNotNull()).groupBy("program_id").agg(F.array_sort(F.collect_set("indication_id")).alias("inds"), F.array_sort(F.collect_set("company_id")).alias("comps"))
+    sets = table(s, d, "program_indication").where(F.col("program_id").isNotNull()).groupBy("program_id").agg(F.sort_array(F.collect_set("indication_id")).alias("inds"), F.sort_array(F.collect_set("company_id")).alias("comps"))
     return sets.withColumn("class", F.concat(F.array_join("inds", ","), F.lit("|"), F.array_join("comps", ",")))
 
 
@@ -278,7 +278,7 @@ def captures_from_documents(s: SparkSession, d: str) -> DataFrame:
         F.min("at").alias("captured_at"), F.date_format(F.min("at"), "yyyy-MM-dd").alias("period"), F.min("preferred_name").alias("name"), F.max_by("phase_code", "sort_order").alias("phase_code")
     )
     named = table(s, d, "expected_asset").where(F.col("preferred_name").isNotNull()).join(known, "preferred_name", "left").withColumn("asset_id", F.coalesce("known", tx.name_key(F.col("preferred_name"))))
-    partners = named.select("snapshot_id", "asset_id", F.explode("partners.name").alias("p")).where(F.col("p").isNotNull()).groupBy("snapshot_id", "asset_id").agg(F.array_sort(F.collect_set("p")).alias("partners"))
+    partners = named.select("snapshot_id", "asset_id", F.explode("partners.name").alias("p")).where(F.col("p").isNotNull()).groupBy("snapshot_id", "asset_id").agg(F.sort_array(F.collect_set("p")).alias("partners"))
     none = F.array().cast("array<string>")
     return captures.join(partners, ["snapshot_id", "asset_id"], "left").withColumn("partners", F.coalesce("partners", none))
 
@@ -351,7 +351,7 @@ FROM dim LEFT JOIN m USING (asset) LEFT JOIN sy USING (asset) LEFT JOIN pa USING
 def asset_detail(s: SparkSession, d: str) -> DataFrame:
     """Each asset with its synonyms, partners and programs nested."""
     a = table(s, d, "expected_asset").where(F.col("preferred_name").isNotNull()).withColumn("asset", tx.name_key(F.col("preferred_name")))
-    of = lambda x, name: a.select("asset", F.explode(x).alias("x")).where(F.col("x").isNotNull()).groupBy("asset").agg(F.array_sort(F.collect_set("x")).alias(name))
+    of = lambda x, name: a.select("asset", F.explode(x).alias("x")).where(F.col("x").isNotNull()).groupBy("asset").agg(F.sort_array(F.collect_set("x")).alias(name))
     told = F.concat_ws(":", "company_id", "indication", F.coalesce("phase_code", F.lit("unmapped")))
     programs = program_base(s, d).groupBy("asset").agg(F.array_sort(F.collect_list(told)).alias("programs_of"), F.count(F.lit(1)).alias("programs"))
     rows = asset_dimension(s, d).join(of("synonyms", "synonyms"), "asset", "left").join(of("partners.name", "partners"), "asset", "left").join(programs, "asset", "left")
