@@ -1,8 +1,8 @@
 import pytest
 
 from sedimenta.llm.edits import typing_distance
-from sedimenta.llm.minhash import MinHash, bands_for, collision, edit_similarity, qgrams
-from sedimenta.llm.names import ACCEPT, asset_forms, asset_similarity, candidate_pairs, name_clusters, organisation_form, organisation_similarity, variant_pairs
+from sedimenta.llm.minhash import MinHash, banding, bands_for, collision, edit_similarity, qgrams
+from sedimenta.llm.names import ACCEPT, asset_forms, asset_similarity, banding_recall, candidate_pairs, name_clusters, organisation_form, organisation_similarity, variant_pairs
 from sedimenta.llm.star import star_clusters
 
 SCHEMA = "expected_id long, preferred_name string, synonyms array<string>, partners array<struct<name:string,role:string,territory:string>>"
@@ -25,6 +25,20 @@ def test_bands_reach_their_recall():
     assert qgrams("ab", 3) == {"\x02\x02a", "\x02ab", "ab\x03", "b\x03\x03"}
 
 
+def test_banding_follows_the_collision_curve_of_a_length():
+    for n in range(5, 20):
+        s = edit_similarity(n, 2, 3)
+        bands, rows = banding(s, 0.99, 40)
+        assert collision(s, bands, rows) >= 0.99 and bands <= 40 and bands_for(s, 0.99, rows + 1) > 40
+
+
+def test_banding_recall_counts_near_tokens(spark):
+    rows = [(1, "zimofarotinib", ["zimofaortinib", "dalemucetol", "dalemucetoll"], [("Zolaremi Tekabor Labs", None, None), ("Zolraemi Tekabor Labs", None, None), (None, None, None)]), (2, None, None, None)]
+    got = banding_recall(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.kind, r.length): r.pairs for r in got} == {("asset", 13): 1, ("asset", 12): 1, ("partner", 8): 1} and all(0 <= r.met <= r.pairs for r in got)
+    assert banding_recall(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
 @pytest.mark.parametrize(
     "variant",
     ["ZOLAREMI TEKABOR BIOSCIENCES", "Zolaremi &amp; Tekabor Biosciences", "Tekabor, Zolaremi (Biosci.)", "Zolaremi-Tekabor Bioscience, Inc.", "Zolarémi T. Biosciences", "Zolaremi", "Zolraemi Tekabor Biosciences*", "ZTB / Zolaremi Tekabor", "Zolaremi Biosci.", "Zolaremitekabor Biosciences"],
