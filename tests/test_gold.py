@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sedimenta.functions import web
-from sedimenta.operators import graph, search
+from sedimenta.operators import graph, identity, search
 from sedimenta.sources import documents, snapshots
 
 
@@ -73,3 +73,17 @@ def test_workbooks_and_artifacts(spark, tmp_path):
     assert sorted((r.sheet, r.row, r.cells) for r in rows.where("error is null").collect()) == [("A & B", 0, ["x", "", "y"]), ("A & B", 2, ["<z>"]), ("S2", 0, ["1"])]
     assert rows.where("error is not null").count() == 1
     assert {bytes(r.content) for r in snapshots.get_artifacts(spark, folder).collect()} == {content, b"broken"}
+
+
+def test_first_rows_of_a_key_of_any_size(spark):
+    rows = [(k, (i * 7919) % 5000, ["x", None][i % 2]) for i in range(5000) for k in ("hot",)] + [("a", 3, None), ("a", 2, "b"), (None, 9, "n"), (None, 8, "m")]
+    df = spark.createDataFrame(rows, "k string, n int, v string").withColumn("_n0", F.lit(1))
+    got = {(r.k, r.n) for r in identity.first_per_key(df, ["k"], F.desc("n")).collect()}
+    assert got == {("hot", 4999), ("a", 3), (None, 9)}
+    assert identity.first_per_key(df.limit(0), ["k"], "n").columns == df.columns
+
+
+def test_settings_are_merged_without_repeats(spark):
+    df = spark.createDataFrame([(100, ["b", "a"]), (9_000, None), (None, [])], "w int, s array<string>")
+    got = df.select(web.merged_config(F.col("w"), F.col("s"), ["a", "c"]).alias("m")).collect()
+    assert [(r.m.wait_ms, r.m.full_page, r.m.selectors) for r in got] == [(3500, True, ["b", "a", "c"]), (9000, True, ["a", "c"]), (3500, True, ["a", "c"])]
