@@ -129,17 +129,20 @@ def walk_up(seeds: DataFrame, edges: DataFrame, max_depth: int, max_nodes: int,
     return found
 
 
-def class_edges(classes: DataFrame, targets: str, indications: str) -> DataFrame:
-    """src, dst (src <= dst), kind, weight: edges between classes of members with the same sets.
-
-    Sharing a target is 'mechanism' (1.0), sharing an indication and no target
-    'competitive' (0.7); a class of several members (``n`` > 1) also has an edge
-    to itself. Classes meet on each value they share, so their number, not that
-    of the members, bounds the pairs.
+def edge_groups(members: DataFrame, targets: str, indications: str) -> DataFrame:
+    """kind, weight, key, member, apart: the edges between all members as memberships of groups.
+
+    Two members of one 'mechanism' group (a shared target, 1.0) are linked, and
+    so are two of one 'competitive' group (a shared indication, 0.7) unless
+    their ``apart``, the targets, overlap. Groups of one member are left out.
+    The rows grow with the members; pairs, which grow with the square of a
+    group, are expanded for one member at a time by :func:`neighbours`.
+    ``members`` has member and two arrays, which may be null; other columns stay.
     """
-    side = lambda c: classes.select(F.col("class").alias(c), F.col("n").alias(f"{c}_n"), F.explode(targets).alias("value"), F.lit("t").alias("of")).unionByName(
-        classes.select(F.col("class").alias(c), F.col("n").alias(f"{c}_n"), F.explode(indications).alias("value"), F.lit("i").alias("of"))
-    )
-    met = side("src").join(side("dst"), ["of", "value"]).where((F.col("src") < F.col("dst")) | ((F.col("src") == F.col("dst")) & (F.col("src_n") > 1)))
-    kinds = met.groupBy("src", "dst").agg(F.bool_or(F.col("of") == "t").alias("same"))
-    return kinds.select("src", "dst", F.when(F.col("same"), "mechanism").otherwise("competitive").alias("kind"), F.when(F.col("same"), 1.0).otherwise(0.7).alias("weight"))
+    none = F.array().cast(members.schema[targets].dataType)
+    own = F.array_sort(F.array_distinct(F.array_compact(F.coalesce(targets, none))))
+    rest = [c for c in members.columns if c not in ("member", targets, indications)]
+    of = lambda kind, weight, c, apart: members.select(F.lit(kind).alias("kind"), F.lit(weight).alias("weight"), F.explode(F.array_distinct(F.array_compact(F.coalesce(c, none)))).alias("key"), "member", apart.alias("apart"), *rest)
+    rows = of("mechanism", 1.0, targets, none).unionByName(of("competitive", 0.7, indications, own))
+    shared = rows.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+    return rows.join(shared, ["kind", "key"], "left_semi").select("kind", "weight", "key", "member", "apart", *rest)

@@ -226,36 +226,18 @@ def upward_walk(s: SparkSession, d: str) -> DataFrame:
     return graph.walk_up(seeds, _geo(s, d)[1], max_depth=6, max_nodes=4_000, stop=["r1"], keep=lambda node: node != "world")
 
 
-# ---- edges between programs: classes, their edges, their members ----
-
-_CLASSES = """pc AS (SELECT program_id, list_sort(list_distinct(list(indication_id))) AS inds, list_sort(list_distinct(list(company_id))) AS comps FROM program_indication WHERE program_id IS NOT NULL GROUP BY 1),
-pk AS (SELECT *, array_to_string(inds, ',') || '|' || array_to_string(comps, ',') AS class FROM pc),
-cl AS (SELECT class, any_value(inds) AS inds, any_value(comps) AS comps, count(*) AS n FROM pk GROUP BY 1)"""
-
-
-def _classes(s: SparkSession, d: str) -> DataFrame:
-    """program_id, class: programs of the same indications and companies are one class."""
-    sets = table(s, d, "program_indication").where(F.col("program_id").isNotNull()).groupBy("program_id").agg(F.sort_array(F.collect_set("indication_id")).alias("inds"), F.sort_array(F.collect_set("company_id")).alias("comps"))
-    return sets.withColumn("class", F.concat(F.array_join("inds", ","), F.lit("|"), F.array_join("comps", ",")))
-
-
-@query(f"WITH {_CLASSES}, b AS (SELECT program_id, min(born_on) AS born_on FROM program_born_on GROUP BY 1) SELECT pk.program_id, class, born_on FROM pk LEFT JOIN b USING (program_id)")
-def edge_members(s: SparkSession, d: str) -> DataFrame:
-    """Members of the classes that :func:`edge_classes` links; a pair of members exists from the later of their births on."""
-    born = table(s, d, "program_born_on").groupBy("program_id").agg(F.min("born_on").alias("born_on"))
-    return _classes(s, d).join(born, "program_id", "left").select("program_id", "class", "born_on")
-
-
-@query(f"""WITH {_CLASSES} SELECT x.class AS src, y.class AS dst, CASE WHEN len(list_intersect(x.comps, y.comps)) > 0 THEN 'mechanism' ELSE 'competitive' END AS kind,
-CASE WHEN len(list_intersect(x.comps, y.comps)) > 0 THEN 1.0 ELSE 0.7 END::DOUBLE AS weight FROM cl x JOIN cl y ON x.class < y.class OR (x.class = y.class AND x.n > 1)
-WHERE len(list_intersect(x.comps, y.comps)) > 0 OR len(list_intersect(x.inds, y.inds)) > 0""")
-def edge_classes(s: SparkSession, d: str) -> DataFrame:
-    """Mechanism and competitive edges of all programs, between classes (companies stand in for targets).
-
-    Classes are at most as many as combinations of indications and companies, however many programs there are.
-    """
-    classes = _classes(s, d).groupBy("class").agg(F.first("inds").alias("inds"), F.first("comps").alias("comps"), F.count(F.lit(1)).alias("n"))
-    return graph.class_edges(classes, "comps", "inds")
+# ---- edges between programs, as memberships of groups ----
+
+
+@query("""WITH pc AS (SELECT program_id, list_sort(list_distinct(list(indication_id))) AS inds, list_sort(list_distinct(list(company_id))) AS comps FROM program_indication WHERE program_id IS NOT NULL GROUP BY 1),
+b AS (SELECT program_id, min(born_on) AS born_on FROM program_born_on GROUP BY 1),
+r AS (SELECT 'mechanism' AS kind, 1.0::DOUBLE AS weight, unnest(comps) AS key, program_id AS member, []::VARCHAR[] AS apart FROM pc UNION ALL SELECT 'competitive', 0.7, unnest(inds), program_id, comps FROM pc)
+SELECT r.kind, weight, r.key, member, apart, born_on FROM r JOIN (SELECT kind, key FROM r GROUP BY 1, 2 HAVING count(*) > 1) USING (kind, key) LEFT JOIN b ON b.program_id = member""")
+def edge_groups(s: SparkSession, d: str) -> DataFrame:
+    """Mechanism and competitive edges of all programs (companies stand in for targets) with their births, in linear form."""
+    sets = table(s, d, "program_indication").where(F.col("program_id").isNotNull()).groupBy(F.col("program_id").alias("member")).agg(F.collect_set("indication_id").alias("inds"), F.collect_set("company_id").alias("comps"))
+    born = table(s, d, "program_born_on").groupBy(F.col("program_id").alias("member")).agg(F.min("born_on").alias("born_on"))
+    return graph.edge_groups(sets.join(born, "member", "left"), "comps", "inds")
 
 
 # ---- silver to captures ----

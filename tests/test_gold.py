@@ -44,10 +44,22 @@ def test_walk_up_stops_and_survives_cycles(spark):
     assert "x" not in walk(keep=lambda n: n != "x") and walk(max_nodes=2) == {"a": 0, "b": 1}
 
 
-def test_class_edges(spark):
-    classes = spark.createDataFrame([("p", ["t1"], ["i1"], 2), ("q", ["t1", "t2"], ["i2"], 1), ("r", ["t3"], ["i1", "i2"], 1), ("s", ["t9"], None, 1)], "class string, t array<string>, i array<string>, n int")
-    got = {(r.src, r.dst, r.kind) for r in graph.class_edges(classes, "t", "i").collect()}
-    assert got == {("p", "p", "mechanism"), ("p", "q", "mechanism"), ("p", "r", "competitive"), ("q", "r", "competitive")}
+def test_edge_groups_hold_the_edges_of_all_pairs(spark):
+    data = [("p", ["t1"], ["i1"]), ("q", ["t1", "t2", None], ["i2", "i2"]), ("r", ["t3"], ["i1", "i2"]), ("s", None, ["i9"]), ("u", ["t3"], None), ("v", [], ["i1"])]
+    got = graph.edge_groups(spark.createDataFrame(data, "member string, t array<string>, i array<string>").withColumn("_x", F.lit(1)), "t", "i").collect()
+    edges = set()
+    for x in got:
+        for y in got:
+            if (x.kind, x.key) == (y.kind, y.key) and x.member < y.member and not set(x.apart) & set(y.apart):
+                edges.add((x.member, y.member, x.kind, x.weight))
+    true = set()
+    for a, ta, ia in data:
+        for b, tb, ib in data:
+            if a < b:
+                same, near = set(ta or []) & set(tb or []) - {None}, set(ia or []) & set(ib or [])
+                if same or near:
+                    true.add((a, b, "mechanism", 1.0) if same else (a, b, "competitive", 0.7))
+    assert edges == true and len(got) == 9
 
 
 def test_pages(spark):
